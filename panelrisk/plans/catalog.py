@@ -59,19 +59,21 @@ def master(spark, d, metric=V.RATE, impute=True):
 
 
 def scored(spark, d):
-    """Deterministic stand-in for the fitted models (SQL-checkable): fixed
+    """Deterministic, SQL-checkable stand-in for the fitted models: fixed
     value bands as cluster ids, ranked into profiles; split at the exact
-    0.8 quantile of year; prediction = mean training value of the same
-    (entity, measure), else the overall training mean; zones at exact
-    0.33/0.66 quantiles of the predictions (one value per entity x measure,
-    so the exact quantile state is bounded)."""
+    0.8 quantile of year; a persistence forecast (the value of the latest
+    training row of the same entity and measure, else of the latest
+    training row overall); zones at exact 0.33/0.66 quantiles of the
+    predictions (one distinct value per entity x measure, so the exact
+    quantile state stays bounded)."""
     m = master(spark, d).withColumn(K.CLUSTER, V.supplied_cluster())
     m = cluster.rank_labels(m, K.CLUSTER, K.VAL)
     _, train, test = forecast.temporal_split(m, relative_error=0.0)
-    gm = train.groupBy(K.TRANSLATED, K.MEASURE).agg(F.avg(K.VAL).alias("__m"))
-    overall = train.agg(F.avg(K.VAL)).first()[0]
-    pred = (test.join(gm, [K.TRANSLATED, K.MEASURE], "left")
-                .withColumn(K.PREDICTION, F.round(F.coalesce(F.col("__m"), F.lit(overall)), 4))
+    order = F.struct(F.col(K.YEAR), F.col(K.SEQ))
+    last = train.groupBy(K.TRANSLATED, K.MEASURE).agg(F.max_by(K.VAL, order).alias("__m"))
+    overall = train.agg(F.max_by(K.VAL, order)).first()[0]
+    pred = (test.join(last, [K.TRANSLATED, K.MEASURE], "left")
+                .withColumn(K.PREDICTION, F.coalesce(F.col("__m"), F.lit(overall)))
                 .drop("__m"))
     return forecast.quantile_zones(pred, relative_error=0.0)
 

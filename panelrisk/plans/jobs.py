@@ -199,16 +199,16 @@ def final_entity_table(rows: DataFrame, fixups: Mapping[str, str] = K.MAP_NAME_F
 
 def map_ready(final: DataFrame) -> DataFrame:
     """Columns a choropleth layer needs: key, zone (+ its rank for the
-    legend order) and the hover fields rounded for display."""
+    legend order) and the hover fields (formatting is the renderer's job)."""
     return final.select(
         F.col(K.TRANSLATED).alias("location"),
         F.col(K.ZONE).alias("zone"),
         bands.ordinal(K.ZONE).alias("zone_rank"),
         F.col(K.YEAR).alias("year"), F.col(K.MEASURE).alias("category"),
-        F.round(K.COUNT_VAL, 0).alias("cases_absolute"),
-        F.round(K.VAL, 2).alias("actual_rate"), F.round(K.PREDICTION, 2).alias("predicted_rate"),
+        F.col(K.COUNT_VAL).alias("cases_absolute"),
+        F.col(K.VAL).alias("actual_rate"), F.col(K.PREDICTION).alias("predicted_rate"),
         F.col(K.PROFILE).alias("cluster_profile"),
-        F.round(K.GDP, 2).alias("gdp_per_capita"), F.round(K.POP, 2).alias("pop_density"))
+        F.col(K.GDP).alias("gdp_per_capita"), F.col(K.POP).alias("pop_density"))
 
 
 def watchlist(final: DataFrame, names: Sequence[str] = K.WATCH_LIST) -> DataFrame:

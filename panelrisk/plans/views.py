@@ -8,13 +8,18 @@ twin in ``oracle.py`` with the same semantics.
 * panel: one row per order: entity = customer nation name, measure =
   order priority, metric from the order status (F -> Rate, O -> Number,
   else Other), year of the order date, value = total price / 500.
-* covariates: per (nation, year) averages keyed by the *covariate naming*
-  ``Nation <key>``; the value column is found by name, as in the original.
+* covariates: per (nation, year) values keyed by the *covariate naming*
+  ``Nation <key>`` (quantity shipped by the nation's suppliers; highest
+  customer balance); the value column is found by name, as in the original.
 * dictionary: panel name -> covariate name for the nations of three
   regions.  Nations outside it keep their panel name, miss both covariates
   and get imputed medians (the original's dictionary gap).
-* uploads: one row per (supplier nation, return flag, line status) for the
-  target year: R -> Rate, A -> Number, else Other.
+* uploads: for the nations of two regions, one row per (supplier nation,
+  return flag, line status) of the target year: R -> Rate, A -> Number,
+  else Other; value = price of the group's first line item / 100.
+
+Values are exact aggregates (sums of integral values, max, first-by-order)
+so that the DuckDB twin reproduces them to the last bit.
 """
 
 from __future__ import annotations
@@ -29,10 +34,11 @@ RATE = "Rate"
 COUNT = "Number"
 TARGET_YEAR = 2001
 MEASURE_PATTERN = "urgent|HIGH"
-DICTIONARY_REGIONS = ["AFRICA", "AMERICA", "EUROPE"]
+DICTIONARY_REGIONS = ["AFRICA", "AMERICA", "ASIA"]
+UPLOAD_REGIONS = ["ASIA", "MIDDLE EAST"]
 VAL_DIVISOR = 500.0
-UPLOAD_DIVISOR = 60.0
-WATCH = ["Nation 1", "Nation 2", "Nation 24", "Nation_10", "Indonesia"]
+UPLOAD_DIVISOR = 100.0
+WATCH = ["Nation 1", "Nation_3", "Nation 12", "Nation_24", "Nation 4", "Indonesia"]
 # Fixed-threshold grouping used where a deterministic, SQL-checkable
 # cluster id is needed in place of a fitted model's.
 SUPPLIED_CLUSTER_IDS = (2, 0, 1)
@@ -70,11 +76,11 @@ def dictionary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cov_gdp(spark: SparkSession, d: str) -> DataFrame:
-    l = table(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice")
+    l = table(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity")
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     j = l.join(s, l.l_suppkey == s.s_suppkey)
     return (j.groupBy(F.col("s_nationkey").alias("k"), F.year("l_shipdate").alias("y"))
-             .agg(F.round(F.avg("l_extendedprice"), 4).alias("v"))
+             .agg(F.sum("l_quantity").alias("v"))
              .select(cov_name(F.col("k")).alias("Entity"),
                      F.concat(F.lit("N"), F.col("k").cast("string")).alias("Code"),
                      F.col("y").cast("int").alias("Year"),
@@ -86,7 +92,7 @@ def cov_density(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     j = o.join(c, o.o_custkey == c.c_custkey)
     return (j.groupBy(F.col("c_nationkey").alias("k"), F.year("o_orderdate").alias("y"))
-             .agg(F.round(F.avg("c_acctbal"), 4).alias("v"))
+             .agg(F.max("c_acctbal").alias("v"))
              .select(cov_name(F.col("k")).alias("Entity"),
                      F.concat(F.lit("N"), F.col("k").cast("string")).alias("Code"),
                      F.col("y").cast("int").alias("Year"),
@@ -94,15 +100,19 @@ def cov_density(spark: SparkSession, d: str) -> DataFrame:
 
 
 def uploads(spark: SparkSession, d: str) -> DataFrame:
-    l = table(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice",
-                                           "l_returnflag", "l_linestatus")
+    l = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                           "l_shipdate", "l_extendedprice", "l_returnflag",
+                                           "l_linestatus")
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = table(spark, d, "region").filter(F.col("r_name").isin(UPLOAD_REGIONS))
+    n = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left_semi")
     j = (l.filter(F.year("l_shipdate") == TARGET_YEAR)
           .join(s, l.l_suppkey == s.s_suppkey)
           .join(F.broadcast(n), F.col("s_nationkey") == n.n_nationkey))
+    first = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     g = j.groupBy("n_nationkey", "n_name", "l_returnflag", "l_linestatus").agg(
-        F.avg("l_extendedprice").alias("v"))
+        F.min_by("l_extendedprice", first).alias("v"))
     rf = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
     ls = F.when(F.col("l_linestatus") == "O", 0).otherwise(1)
     return g.select(
@@ -110,7 +120,7 @@ def uploads(spark: SparkSession, d: str) -> DataFrame:
         F.col("n_name").alias(K.LOCATION),
         F.when(F.col("l_returnflag") == "R", RATE)
          .when(F.col("l_returnflag") == "A", COUNT).otherwise("Other").alias(K.METRIC),
-        F.round(F.col("v") / UPLOAD_DIVISOR, 2).alias(K.VAL))
+        (F.col("v") / UPLOAD_DIVISOR).alias(K.VAL))
 
 
 def supplied_cluster(val_col: str = K.VAL) -> F.Column:
