@@ -85,8 +85,10 @@ def forecast_zones(labelled: DataFrame, key: Sequence[str] = (K.SEQ,), partition
                    zone_relative_error: float = K.ZONE_RELATIVE_ERROR, **kw):
     """Temporal split -> forest -> scored test rows -> quantile zones.
     Returns ``(split, model, zoned, metrics)``."""
+    # Lay the input out deterministically first: the approximate split and
+    # zone quantiles and the forest then see the same partitions on every run.
+    labelled = features.stable_layout(labelled, list(key), partitions)
     split, train, test = forecast.temporal_split(labelled, relative_error=split_relative_error)
-    train = features.stable_layout(train, list(key), partitions)
     model = forecast.fit_forest(train, **kw)
     pred = model.transform(test)
     zoned = forecast.quantile_zones(pred, relative_error=zone_relative_error)
