@@ -52,10 +52,21 @@ def _translated_panel(spark, d):
 
 def master(spark, d, metric=V.RATE, impute=True):
     """C1 on the test views.  Covariate medians are exact: the covariate
-    columns hold one value per (entity, year), a bounded cardinality."""
-    return jobs.integrate_panel(V.panel(spark, d), V.cov_gdp(spark, d), V.cov_density(spark, d),
-                                dictionary=V.dictionary(spark, d), metric=metric,
-                                impute_relative_error=0.0, impute=impute)
+    columns hold one value per (entity, year), a bounded cardinality.
+
+    The joined panel is staged once (so the median job and the imputation
+    do not both recompute the joins), and the imputed master is landed in
+    the curated zone, partitioned by year, and re-read, as the original
+    does: later steps scan those files, a lost executor recomputes from
+    the zone, and year filters (the temporal split) prune partitions."""
+    m = jobs.integrate_panel(V.panel(spark, d), V.cov_gdp(spark, d), V.cov_density(spark, d),
+                             dictionary=V.dictionary(spark, d), metric=metric,
+                             impute_relative_error=0.0, impute=False)
+    if not impute:
+        return m
+    staged = lake.roundtrip(m, shared_path(spark, "lake", "staging_master"))
+    imputed = features.median_impute(staged, [K.GDP, K.POP], 0.0)
+    return jobs.curate(imputed, shared_path(spark, "lake", "curated_master"))
 
 
 def scored(spark, d):
@@ -79,20 +90,32 @@ def scored(spark, d):
 
 
 def pred_export(spark, d):
-    return scored(spark, d).select(*K.EXPORT_COLUMNS, K.SEQ)
+    """The prediction export, handed to the map stage by file (as the
+    original hands over its CSV): written once, then scanned."""
+    path = shared_path(spark, "lake", "predictions")
+    lake.land(scored(spark, d).select(*K.EXPORT_COLUMNS, K.SEQ), path)
+    return lake.read_zone(spark, path)
 
 
-def _map_inputs(spark, d):
-    dic = V.dictionary(spark, d)
-    pred = jobs._standardise(pred_export(spark, d), K.TRANSLATED, dic)
-    mall = jobs._standardise(master(spark, d, metric=None), K.TRANSLATED, dic)
-    up = jobs.classify_upload(V.uploads(spark, d), dictionary=dic, rate=V.RATE, count=V.COUNT,
-                              year=V.TARGET_YEAR)
-    return pred, mall, up
+def _map_dict(spark, d):
+    return V.dictionary(spark, d)
+
+
+def _map_pred(spark, d):
+    return jobs._standardise(pred_export(spark, d), K.TRANSLATED, _map_dict(spark, d))
+
+
+def _map_master(spark, d):
+    return jobs._standardise(master(spark, d, metric=None), K.TRANSLATED, _map_dict(spark, d))
+
+
+def _map_upload(spark, d):
+    return jobs.classify_upload(V.uploads(spark, d), dictionary=_map_dict(spark, d), rate=V.RATE,
+                                count=V.COUNT, year=V.TARGET_YEAR)
 
 
 def _assembled(spark, d, pattern=V.MEASURE_PATTERN):
-    pred, mall, up = _map_inputs(spark, d)
+    pred, mall, up = _map_pred(spark, d), _map_master(spark, d), _map_upload(spark, d)
     return jobs.assemble_results(pred, mall, up, year=V.TARGET_YEAR, pattern=pattern,
                                  count_metric=V.COUNT), pred, mall
 
@@ -428,8 +451,7 @@ def q_entity_report(spark, d):
 
 
 def q_union_by_name(spark, d):
-    pred, _, up = _map_inputs(spark, d)
-    return setops.union_by_name(pred, up)
+    return setops.union_by_name(_map_pred(spark, d), _map_upload(spark, d))
 
 
 # ------------------------------------------------------------------ scalar functions / ML
@@ -493,8 +515,7 @@ def q_assemble_skip_invalid(spark, d):
 
 
 def q_classify_upload(spark, d):
-    _, _, up = _map_inputs(spark, d)
-    return up
+    return _map_upload(spark, d)
 
 
 def q_assemble_results(spark, d):

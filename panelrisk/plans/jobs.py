@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +66,13 @@ def integrate_panel(panel: DataFrame, gdp_raw: DataFrame, pop_raw: DataFrame,
     return master
 
 
+def curate(master: DataFrame, path: str, partition_by: Sequence[str] = (K.YEAR,)) -> DataFrame:
+    """Land the master in the curated zone and continue from the files
+    (a durable lineage cut; year-partitioned for pruning)."""
+    from ..sources import lake
+    return lake.roundtrip(master, path, "parquet", partition_by=list(partition_by))
+
+
 # ---------------------------------------------------------------- C2
 def profile_clusters(master: DataFrame, features_: Sequence[str] = (K.GDP, K.POP, K.VAL, K.YEAR),
                      key: Sequence[str] = (K.SEQ,), partitions: int = 8, **kw):
@@ -72,10 +80,13 @@ def profile_clusters(master: DataFrame, features_: Sequence[str] = (K.GDP, K.POP
     value into profile labels.  Returns ``(model, labelled, silhouette)``.
     Input is laid out deterministically first (same model from any
     partitioning)."""
-    data = features.stable_layout(master, list(key), partitions)
-    model, out = cluster.fit_clusters(data, list(features_), **kw)
-    sil = cluster.silhouette(out, "scaled_cluster_features", K.CLUSTER, dim=len(features_))
-    labelled = cluster.rank_labels(out, K.CLUSTER, K.VAL)
+    data = features.stable_layout(master, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model, out = cluster.fit_clusters(data, list(features_), **kw)
+        sil = cluster.silhouette(out, "scaled_cluster_features", K.CLUSTER, dim=len(features_))
+        labelled = cluster.rank_labels(out, K.CLUSTER, K.VAL)
+    finally:
+        data.unpersist()
     return model, labelled, sil
 
 
@@ -89,7 +100,13 @@ def forecast_zones(labelled: DataFrame, key: Sequence[str] = (K.SEQ,), partition
     # zone quantiles and the forest then see the same partitions on every run.
     labelled = features.stable_layout(labelled, list(key), partitions)
     split, train, test = forecast.temporal_split(labelled, relative_error=split_relative_error)
-    model = forecast.fit_forest(train, **kw)
+    # The forest's pre-passes (two indexers, bin finding) and its training
+    # all scan the training set: keep it materialised for the fit only.
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = forecast.fit_forest(train, **kw)
+    finally:
+        train.unpersist()
     pred = model.transform(test)
     zoned = forecast.quantile_zones(pred, relative_error=zone_relative_error)
     metrics = forecast.regression_metrics(pred)
