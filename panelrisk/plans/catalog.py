@@ -514,6 +514,20 @@ def q_assemble_skip_invalid(spark, d):
     return a.select(K.SEQ, *[arr[i].alias(f"f{i}") for i in range(len(cols))])
 
 
+def q_upload_stream(spark, d):
+    """C4 through Structured Streaming: the uploads view is written as one
+    upload file (in its row order), a file-source stream classifies it."""
+    from ..streaming import read_classified, start_upload_stream
+    src = shared_path(spark, "uploads", "incoming")
+    up = V.uploads(spark, d)
+    lake.land(up.orderBy(K.SEQ).coalesce(1).select(K.LOCATION, K.METRIC, K.VAL), src, "csv")
+    sink = shared_path(spark, "uploads", "classified")
+    q = start_upload_stream(spark, src, sink, dictionary=_map_dict(spark, d), rate=V.RATE,
+                            count=V.COUNT, year=V.TARGET_YEAR)
+    q.awaitTermination()
+    return read_classified(spark, sink).drop("batch_id", K.SEQ)
+
+
 def q_classify_upload(spark, d):
     return _map_upload(spark, d)
 

@@ -408,6 +408,7 @@ BODIES: dict[str, str] = {
         FROM jrate WHERE gdp_per_capita IS NOT NULL AND pop_density IS NOT NULL AND val IS NOT NULL
           AND NOT isnan(gdp_per_capita) AND NOT isnan(pop_density) AND NOT isnan(val)""",
     "classify_upload": "SELECT * FROM classified",
+    "upload_stream": "SELECT * EXCLUDE (seq) FROM classified",
     "assemble_results": """SELECT seq, sub_seq, source_rank, translated_location, year, measure_name, val, prediction,
         cluster_risiko, profil_negara, jumlah_kasus_absolut FROM assembled""",
     "final_entity_table": "SELECT * FROM final",
