@@ -50,26 +50,40 @@ def _translated_panel(spark, d):
     return joins.dictionary_join(V.panel(spark, d), K.LOCATION, V.dictionary(spark, d), K.TRANSLATED)
 
 
-def master(spark, d, metric=V.RATE, impute=True):
+def joined_panel(spark, d, metric=V.RATE):
+    """C1 up to (not including) imputation: panel slice, translated and
+    joined to both covariates."""
+    return jobs.integrate_panel(V.panel(spark, d), V.cov_gdp(spark, d), V.cov_density(spark, d),
+                                dictionary=V.dictionary(spark, d), metric=metric, impute=False)
+
+
+def staged_panel(spark, d, metric=V.RATE):
+    """The joined panel staged once in the shared folder, so the median job
+    and the imputation (and, in the map stage, both masters) scan files
+    instead of recomputing the joins."""
+    return lake.roundtrip(joined_panel(spark, d, metric), shared_path(spark, "lake", "staging_panel"))
+
+
+def master(spark, d, metric=V.RATE, impute=True, staged=None):
     """C1 on the test views.  Covariate medians are exact: the covariate
     columns hold one value per (entity, year), a bounded cardinality.
 
-    The joined panel is staged once (so the median job and the imputation
-    do not both recompute the joins), and the imputed master is landed in
-    the curated zone, partitioned by year, and re-read, as the original
-    does: later steps scan those files, a lost executor recomputes from
-    the zone, and year filters (the temporal split) prune partitions."""
-    m = jobs.integrate_panel(V.panel(spark, d), V.cov_gdp(spark, d), V.cov_density(spark, d),
-                             dictionary=V.dictionary(spark, d), metric=metric,
-                             impute_relative_error=0.0, impute=False)
+    The imputed master is landed in the curated zone, partitioned by year,
+    and re-read, as the original does: later steps scan those files, a lost
+    executor recomputes from the zone, and year filters (the temporal
+    split) prune partitions.  ``staged`` (all metrics) lets several masters
+    share one join."""
     if not impute:
-        return m
-    staged = lake.roundtrip(m, shared_path(spark, "lake", "staging_master"))
+        return joined_panel(spark, d, metric)
+    if staged is None:
+        staged = staged_panel(spark, d, metric)
+    elif metric is not None:
+        staged = conform.slice_equal(staged, K.METRIC, metric)
     imputed = features.median_impute(staged, [K.GDP, K.POP], 0.0)
     return jobs.curate(imputed, shared_path(spark, "lake", "curated_master"))
 
 
-def scored(spark, d):
+def scored(spark, d, staged=None):
     """Deterministic, SQL-checkable stand-in for the fitted models: fixed
     value bands as cluster ids, ranked into profiles; split at the exact
     0.8 quantile of year; a persistence forecast (the value of the latest
@@ -77,7 +91,7 @@ def scored(spark, d):
     training row overall); zones at exact 0.33/0.66 quantiles of the
     predictions (one distinct value per entity x measure, so the exact
     quantile state stays bounded)."""
-    m = master(spark, d).withColumn(K.CLUSTER, V.supplied_cluster())
+    m = master(spark, d, staged=staged).withColumn(K.CLUSTER, V.supplied_cluster())
     m = cluster.rank_labels(m, K.CLUSTER, K.VAL)
     _, train, test = forecast.temporal_split(m, relative_error=0.0)
     order = F.struct(F.col(K.YEAR), F.col(K.SEQ))
@@ -89,11 +103,11 @@ def scored(spark, d):
     return forecast.quantile_zones(pred, relative_error=0.0)
 
 
-def pred_export(spark, d):
+def pred_export(spark, d, staged=None):
     """The prediction export, handed to the map stage by file (as the
     original hands over its CSV): written once, then scanned."""
     path = shared_path(spark, "lake", "predictions")
-    lake.land(scored(spark, d).select(*K.EXPORT_COLUMNS, K.SEQ), path)
+    lake.land(scored(spark, d, staged).select(*K.EXPORT_COLUMNS, K.SEQ), path)
     return lake.read_zone(spark, path)
 
 
@@ -101,12 +115,13 @@ def _map_dict(spark, d):
     return V.dictionary(spark, d)
 
 
-def _map_pred(spark, d):
-    return jobs._standardise(pred_export(spark, d), K.TRANSLATED, _map_dict(spark, d))
+def _map_pred(spark, d, staged=None):
+    return jobs._standardise(pred_export(spark, d, staged), K.TRANSLATED, _map_dict(spark, d))
 
 
-def _map_master(spark, d):
-    return jobs._standardise(master(spark, d, metric=None), K.TRANSLATED, _map_dict(spark, d))
+def _map_master(spark, d, staged=None):
+    return jobs._standardise(master(spark, d, metric=None, staged=staged), K.TRANSLATED,
+                             _map_dict(spark, d))
 
 
 def _map_upload(spark, d):
@@ -115,7 +130,9 @@ def _map_upload(spark, d):
 
 
 def _assembled(spark, d, pattern=V.MEASURE_PATTERN):
-    pred, mall, up = _map_pred(spark, d), _map_master(spark, d), _map_upload(spark, d)
+    staged = staged_panel(spark, d, metric=None)      # one join for both masters
+    pred, mall = _map_pred(spark, d, staged), _map_master(spark, d, staged)
+    up = _map_upload(spark, d)
     return jobs.assemble_results(pred, mall, up, year=V.TARGET_YEAR, pattern=pattern,
                                  count_metric=V.COUNT), pred, mall
 
@@ -343,8 +360,9 @@ def q_anti_join_missing_entities(spark, d):
 
 
 def q_latest_label_lookup(spark, d):
-    ents = aggregates.distinct_values(master(spark, d, metric=None), K.TRANSLATED)
-    return joins.latest_lookup(ents, pred_export(spark, d), K.TRANSLATED, [K.ZONE, K.PROFILE])
+    staged = staged_panel(spark, d, metric=None)
+    ents = aggregates.distinct_values(master(spark, d, metric=None, staged=staged), K.TRANSLATED)
+    return joins.latest_lookup(ents, pred_export(spark, d, staged), K.TRANSLATED, [K.ZONE, K.PROFILE])
 
 
 def q_fallback_backfill(spark, d):

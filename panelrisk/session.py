@@ -45,15 +45,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is
-    unset (local tests) a private folder is created and registered.
-    """
+    unset (local tests) a private folder is created and registered.  The
+    RDD checkpoint directory (used by ``DataFrame.checkpoint``) is pointed
+    there once."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="panelrisk-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
