@@ -19,17 +19,20 @@ PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "n/a", "nan", "null"]
 
 
-def _reader(spark: SparkSession, schema: StructType | str | None, header: bool):
+def _reader(spark: SparkSession, schema: StructType | str | None, header: bool, infer: bool):
     r = spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE")
-    return r.schema(schema) if schema is not None else r.option("inferSchema", "true")
+    if schema is not None:
+        return r.schema(schema)
+    return r.option("inferSchema", "true") if infer else r
 
 
 def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
                    schema: StructType | str | None = None, header: bool = True,
-                   with_seq: bool = False) -> DataFrame:
+                   with_seq: bool = False, infer: bool = True) -> DataFrame:
     """All files matching ``paths`` (globs allowed) as one table.
 
-    A declared ``schema`` avoids the extra inference job per source.  No
+    A declared ``schema`` avoids the extra inference job per source
+    (``infer=False`` without a schema reads every column as text).  No
     matching file raises ``FileNotFoundError`` before any job runs.  With
     ``with_seq`` a ``seq`` column records input order: the file path, then
     the position in the scan (for keep-first semantics)."""
@@ -37,7 +40,7 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
     if not paths:
         raise FileNotFoundError("no input files given")
     try:
-        df = _reader(spark, schema, header).csv(paths)
+        df = _reader(spark, schema, header, infer).csv(paths)
     except AnalysisException as e:  # PATH_NOT_FOUND for an empty glob
         raise FileNotFoundError(f"no input files match {paths}: {e}") from None
     if with_seq:
