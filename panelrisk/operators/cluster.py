@@ -28,9 +28,11 @@ def cluster_pipeline(features: Sequence[str], k: int = K.CLUSTER_K, seed: int =
     ])
 
 
-def fit_clusters(df: DataFrame, features: Sequence[str], **kw) -> tuple[PipelineModel, DataFrame]:
-    """Fit the cluster pipeline and label every complete row."""
-    model = cluster_pipeline(features, **kw).fit(df)
+def fit_clusters(df: DataFrame, features: Sequence[str], fit_on: DataFrame | None = None,
+                 **kw) -> tuple[PipelineModel, DataFrame]:
+    """Fit the cluster pipeline (on ``fit_on`` when given, e.g. training
+    years only) and label every complete row of ``df``."""
+    model = cluster_pipeline(features, **kw).fit(fit_on if fit_on is not None else df)
     return model, model.transform(df)
 
 

@@ -15,24 +15,29 @@ from ..functions.casts import nan_to_null
 
 def median_impute(df: DataFrame, columns: Sequence[str],
                   relative_error: float = K.IMPUTE_RELATIVE_ERROR,
-                  by: Sequence[str] | None = None) -> DataFrame:
+                  by: Sequence[str] | None = None,
+                  fit_on: DataFrame | None = None) -> DataFrame:
     """Replace null/NaN in ``columns`` by the column's median.
 
     Global (default, as the original): the medians are one aggregate job
-    inlined as scalar subqueries.  ``by=[keys]``: per-group medians from a
-    grouped aggregate joined back on the keys (the join is planned by size).
-    A column with no value at all raises, like ``Imputer.fit``."""
+    inlined as literals.  ``by=[keys]``: per-group medians from a grouped
+    aggregate joined back on the keys (the join is planned by size).
+    ``fit_on``: take the medians from these rows only (e.g. the training
+    years, so test rows do not leak into the surrogate).  A column with no
+    value at all raises, like ``Imputer.fit``."""
     cols = list(columns)
     clean = df.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in cols})
+    source = (fit_on.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in cols})
+              if fit_on is not None else clean)
     if by:
         aggs = [_median_expr(c, relative_error).alias(f"__m_{c}") for c in cols]
-        med = clean.groupBy(*by).agg(*aggs)
+        med = source.groupBy(*by).agg(*aggs)
         j = clean.join(med, list(by), "left")
         return j.withColumns({c: F.coalesce(F.col(c), F.col(f"__m_{c}")) for c in cols}) \
                 .drop(*[f"__m_{c}" for c in cols])
     # One aggregate job for all columns; its one row (the surrogates, as
     # ``Imputer`` computes them) is inlined into the plan as literals.
-    row = clean.agg(*[_median_expr(c, relative_error).alias(c) for c in cols]).first()
+    row = source.agg(*[_median_expr(c, relative_error).alias(c) for c in cols]).first()
     for c in cols:
         if row is None or row[c] is None:
             raise ValueError(f"median of {c} cannot be computed: the column has no values")

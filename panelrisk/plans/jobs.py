@@ -75,15 +75,22 @@ def curate(master: DataFrame, path: str, partition_by: Sequence[str] = (K.YEAR,)
 
 # ---------------------------------------------------------------- C2
 def profile_clusters(master: DataFrame, features_: Sequence[str] = (K.GDP, K.POP, K.VAL, K.YEAR),
-                     key: Sequence[str] = (K.SEQ,), partitions: int = 8, **kw):
+                     key: Sequence[str] = (K.SEQ,), partitions: int = 8,
+                     fit_years_upto: int | None = None, with_silhouette: bool = True, **kw):
     """Bisecting k-means on standardised features; clusters ranked by mean
-    value into profile labels.  Returns ``(model, labelled, silhouette)``.
-    Input is laid out deterministically first (same model from any
-    partitioning)."""
+    value into profile labels.  Returns ``(model, labelled, silhouette)``
+    (silhouette ``None`` when not asked for).  Input is laid out
+    deterministically first (same model from any partitioning).
+
+    The original fits on all rows, including the value it later forecasts
+    and the test years; ``fit_years_upto`` fits the scaler and k-means on
+    ``year <= fit_years_upto`` only and labels every row."""
     data = features.stable_layout(master, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model, out = cluster.fit_clusters(data, list(features_), **kw)
-        sil = cluster.silhouette(out, "scaled_cluster_features", K.CLUSTER, dim=len(features_))
+        fit_on = data.filter(F.col(K.YEAR) <= fit_years_upto) if fit_years_upto is not None else None
+        model, out = cluster.fit_clusters(data, list(features_), fit_on=fit_on, **kw)
+        sil = (cluster.silhouette(out, "scaled_cluster_features", K.CLUSTER, dim=len(features_))
+               if with_silhouette else None)
         labelled = cluster.rank_labels(out, K.CLUSTER, K.VAL)
     finally:
         data.unpersist()

@@ -29,3 +29,12 @@ def test_forest_repeatable(spark):
         _, _, zoned, metrics = jobs.forecast_zones(labelled.repartition(n), trees=5)
         outs.append(sorted((r.seq, round(r.prediction, 9)) for r in zoned.select(K.SEQ, K.PREDICTION).collect()))
     assert outs[0] == outs[1]
+
+
+def test_clusters_fitted_on_training_years_label_all_rows(spark):
+    from panelrisk.plans import jobs
+    m = C.master(spark, SF)
+    _, labelled, sil = jobs.profile_clusters(m, fit_years_upto=1999, with_silhouette=False)
+    assert sil is None
+    assert labelled.count() == m.count()
+    assert labelled.filter(F.col(K.PROFILE) == K.UNKNOWN_PROFILE).count() == 0

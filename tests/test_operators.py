@@ -178,3 +178,9 @@ def test_checked_broadcast_bounds(spark):
     assert joins.checked_broadcast(small, 10) is not small  # hinted copy
     assert joins.checked_broadcast(big, 10) is big
     assert joins.checked_broadcast(big, None) is big
+
+
+def test_impute_fit_on_training_rows(df):
+    d = df([(2020, 1.0), (2020, 3.0), (2021, 100.0), (2021, None)], "year int, x double")
+    out = features.median_impute(d, ["x"], 0.0, fit_on=d.filter("year <= 2020"))
+    assert sorted(r.x for r in out.collect()) == [1.0, 1.0, 3.0, 100.0]
