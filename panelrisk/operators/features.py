@@ -91,8 +91,18 @@ def string_index(df: DataFrame, column: str, out: str | None = None,
     return model.transform(df)
 
 
-def stable_layout(df: DataFrame, keys: Sequence[str], partitions: int = 8) -> DataFrame:
+def layout_partitions(df: DataFrame, partitions: int | None = None) -> int:
+    """Partition count for ``stable_layout``: the given number, else the
+    session's ``spark.sql.shuffle.partitions`` (sized for the cluster, so a
+    fit is spread over all executors; fixed per configuration, so repeatable)."""
+    if partitions:
+        return int(partitions)
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def stable_layout(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Hash-partition by a unique key into a fixed number of partitions and
     sort within them, so iterative fits (k-means, forests) see the same data
-    layout whatever the input partitioning was, and give identical models."""
-    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    layout whatever the input partitioning was, and give identical models.
+    An explicit count is kept by AQE (it does not coalesce it)."""
+    return df.repartition(layout_partitions(df, partitions), *keys).sortWithinPartitions(*keys)

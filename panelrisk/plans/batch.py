@@ -59,7 +59,7 @@ def _read_text_csv(spark: SparkSession, paths, types: Mapping[str, str] | None =
 
 def forecast_run(spark: SparkSession, panel_paths: str | Sequence[str], gdp_path: str,
                  pop_path: str, out_dir: str, dictionary: Mapping[str, str] = K.JOIN_STAGE_NAMES,
-                 metric: str = K.METRIC_RATE, partitions: int = 8, **forest_kw) -> dict:
+                 metric: str = K.METRIC_RATE, partitions: int | None = None, **forest_kw) -> dict:
     """Ingest -> lake -> C1 -> C2 -> C3 -> exports.  Returns the main
     frames and the paths written."""
     out = out_dir.rstrip("/")

@@ -75,7 +75,7 @@ def curate(master: DataFrame, path: str, partition_by: Sequence[str] = (K.YEAR,)
 
 # ---------------------------------------------------------------- C2
 def profile_clusters(master: DataFrame, features_: Sequence[str] = (K.GDP, K.POP, K.VAL, K.YEAR),
-                     key: Sequence[str] = (K.SEQ,), partitions: int = 8,
+                     key: Sequence[str] = (K.SEQ,), partitions: int | None = None,
                      fit_years_upto: int | None = None, with_silhouette: bool = True, **kw):
     """Bisecting k-means on standardised features; clusters ranked by mean
     value into profile labels.  Returns ``(model, labelled, silhouette)``
@@ -98,7 +98,7 @@ def profile_clusters(master: DataFrame, features_: Sequence[str] = (K.GDP, K.POP
 
 
 # ---------------------------------------------------------------- C3
-def forecast_zones(labelled: DataFrame, key: Sequence[str] = (K.SEQ,), partitions: int = 8,
+def forecast_zones(labelled: DataFrame, key: Sequence[str] = (K.SEQ,), partitions: int | None = None,
                    split_relative_error: float = K.SPLIT_RELATIVE_ERROR,
                    zone_relative_error: float = K.ZONE_RELATIVE_ERROR, **kw):
     """Temporal split -> forest -> scored test rows -> quantile zones.
