@@ -14,8 +14,16 @@ from ..operators.conform import safe_casts
 
 
 def land(df: DataFrame, path: str, fmt: str = "parquet",
-         partition_by: Sequence[str] | None = None) -> str:
-    """Overwrite ``path`` with ``df`` (``fmt``: parquet or csv with header)."""
+         partition_by: Sequence[str] | None = None, rebalance: bool = True) -> str:
+    """Overwrite ``path`` with ``df`` (``fmt``: parquet or csv with header).
+
+    A partitioned write is preceded by a ``rebalance`` on the partition
+    columns: without it every task writes one file per partition value it
+    holds (tasks x years small files at scale).  AQE then sizes the write
+    tasks to the advisory partition size, splitting a hot year into several
+    tasks and merging small ones."""
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
