@@ -83,15 +83,17 @@ def master(spark, d, metric=V.RATE, impute=True, staged=None):
     return jobs.curate(imputed, shared_path(spark, "lake", "curated_master"))
 
 
-def scored(spark, d, staged=None):
+def scored(spark, d, staged=None, built=None):
     """Deterministic, SQL-checkable stand-in for the fitted models: fixed
     value bands as cluster ids, ranked into profiles; split at the exact
     0.8 quantile of year; a persistence forecast (the value of the latest
     training row of the same entity and measure, else of the latest
     training row overall); zones at exact 0.33/0.66 quantiles of the
     predictions (one distinct value per entity x measure, so the exact
-    quantile state stays bounded)."""
-    m = master(spark, d, staged=staged).withColumn(K.CLUSTER, V.supplied_cluster())
+    quantile state stays bounded).  ``built``: a curated master the caller
+    already built (so it is not built twice)."""
+    m = built if built is not None else master(spark, d, staged=staged)
+    m = m.withColumn(K.CLUSTER, V.supplied_cluster())
     m = cluster.rank_labels(m, K.CLUSTER, K.VAL)
     _, train, test = forecast.temporal_split(m, relative_error=0.0)
     order = F.struct(F.col(K.YEAR), F.col(K.SEQ))
@@ -192,7 +194,7 @@ def _metrics_frame(spark, d):
     sil = cluster.silhouette(z, [f"{c}_z" for c in (K.GDP, K.POP, K.VAL, K.YEAR)], K.CLUSTER)
     split = forecast.split_value(m, relative_error=0.0)
     summ = aggregates.split_summary(m, split)
-    reg = forecast.regression_metrics(scored(spark, d))
+    reg = forecast.regression_metrics(scored(spark, d, built=m.drop(K.CLUSTER)))
     r, s_ = reg.first(), sil.first()
     return (summ.select(F.lit("Random Forest").alias("model"), "split_year", "training_rows",
                         "testing_rows",
@@ -380,8 +382,9 @@ def q_watchlist_coverage(spark, d):
 # ------------------------------------------------------------------ aggregates
 def q_null_profile(spark, d):
     cols = [K.VAL, K.GDP, K.POP]
-    before = aggregates.null_profile(master(spark, d, impute=False), cols)
-    after = aggregates.null_profile(master(spark, d), cols)
+    staged = staged_panel(spark, d)          # the joins run once for both profiles
+    before = aggregates.null_profile(staged, cols)
+    after = aggregates.null_profile(master(spark, d, staged=staged, metric=None), cols)
     return setops.union_by_name(before.withColumn("stage", F.lit("before")),
                                 after.withColumn("stage", F.lit("after")))
 
@@ -464,8 +467,9 @@ def q_ordered_category_sort(spark, d):
 
 
 def q_entity_report(spark, d):
-    hist = cluster.rank_labels(master(spark, d).withColumn(K.CLUSTER, V.supplied_cluster()))
-    return forecast.entity_report(scored(spark, d), hist, REPORT_ENTITY)
+    m = master(spark, d)
+    hist = cluster.rank_labels(m.withColumn(K.CLUSTER, V.supplied_cluster()))
+    return forecast.entity_report(scored(spark, d, built=m), hist, REPORT_ENTITY)
 
 
 def q_union_by_name(spark, d):
