@@ -81,9 +81,8 @@ def forecast_run(spark: SparkSession, panel_paths: str | Sequence[str], gdp_path
     before = aggregates.null_profile(joined, [K.VAL, K.GDP, K.POP])
     master = jobs.curate(median_impute(joined, [K.GDP, K.POP]), f"{out}/curated_master")
 
-    _, labelled, sil = jobs.profile_clusters(master, partitions=partitions)
-    labelled = labelled.drop("raw_cluster_features", "scaled_cluster_features")
-    split, model, zoned, metrics = jobs.forecast_zones(labelled, partitions=partitions, **forest_kw)
+    _, labelled, sil, split, model, zoned, metrics = jobs.profile_and_forecast(
+        master, partitions=partitions, **forest_kw)
     zoned = zoned.select(*[c for c in zoned.columns if c not in (
         "features", f"{K.LOCATION}_idx", f"{K.MEASURE}_idx")])
     lake.export_csv(zoned, f"{out}/predictions", [*K.EXPORT_COLUMNS, K.SEQ])

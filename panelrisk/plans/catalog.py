@@ -570,9 +570,7 @@ def q_bisecting_clusters(spark, d):
 
 
 def q_forest_predict(spark, d):
-    _, labelled, _ = jobs.profile_clusters(master(spark, d), with_silhouette=False)
-    labelled = labelled.drop("raw_cluster_features", "scaled_cluster_features")
-    _, _, zoned, _ = jobs.forecast_zones(labelled)
+    *_, zoned, _ = jobs.profile_and_forecast(master(spark, d), with_silhouette=False)
     return zoned.select(K.SEQ, K.TRANSLATED, K.YEAR, K.VAL, K.PREDICTION, K.ZONE, K.PROFILE)
 
 

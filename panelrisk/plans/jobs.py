@@ -76,7 +76,8 @@ def curate(master: DataFrame, path: str, partition_by: Sequence[str] = (K.YEAR,)
 # ---------------------------------------------------------------- C2
 def profile_clusters(master: DataFrame, features_: Sequence[str] = (K.GDP, K.POP, K.VAL, K.YEAR),
                      key: Sequence[str] = (K.SEQ,), partitions: int | None = None,
-                     fit_years_upto: int | None = None, with_silhouette: bool = True, **kw):
+                     fit_years_upto: int | None = None, with_silhouette: bool = True,
+                     laid_out: bool = False, **kw):
     """Bisecting k-means on standardised features; clusters ranked by mean
     value into profile labels.  Returns ``(model, labelled, silhouette)``
     (silhouette ``None`` when not asked for).  Input is laid out
@@ -84,8 +85,10 @@ def profile_clusters(master: DataFrame, features_: Sequence[str] = (K.GDP, K.POP
 
     The original fits on all rows, including the value it later forecasts
     and the test years; ``fit_years_upto`` fits the scaler and k-means on
-    ``year <= fit_years_upto`` only and labels every row."""
-    data = features.stable_layout(master, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    ``year <= fit_years_upto`` only and labels every row.  ``laid_out``:
+    the caller already laid the master out and holds it cached."""
+    data = (master if laid_out else
+            features.stable_layout(master, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK))
     try:
         fit_on = data.filter(F.col(K.YEAR) <= fit_years_upto) if fit_years_upto is not None else None
         model, out = cluster.fit_clusters(data, list(features_), fit_on=fit_on, **kw)
@@ -93,19 +96,21 @@ def profile_clusters(master: DataFrame, features_: Sequence[str] = (K.GDP, K.POP
                if with_silhouette else None)
         labelled = cluster.rank_labels(out, K.CLUSTER, K.VAL)
     finally:
-        data.unpersist()
+        if not laid_out:
+            data.unpersist()
     return model, labelled, sil
 
 
 # ---------------------------------------------------------------- C3
 def forecast_zones(labelled: DataFrame, key: Sequence[str] = (K.SEQ,), partitions: int | None = None,
                    split_relative_error: float = K.SPLIT_RELATIVE_ERROR,
-                   zone_relative_error: float = K.ZONE_RELATIVE_ERROR, **kw):
+                   zone_relative_error: float = K.ZONE_RELATIVE_ERROR, laid_out: bool = False, **kw):
     """Temporal split -> forest -> scored test rows -> quantile zones.
     Returns ``(split, model, zoned, metrics)``."""
     # Lay the input out deterministically first: the approximate split and
     # zone quantiles and the forest then see the same partitions on every run.
-    labelled = features.stable_layout(labelled, list(key), partitions)
+    if not laid_out:
+        labelled = features.stable_layout(labelled, list(key), partitions)
     split, train, test = forecast.temporal_split(labelled, relative_error=split_relative_error)
     # The forest's pre-passes (two indexers, bin finding) and its training
     # all scan the training set: keep it materialised for the fit only.
@@ -120,6 +125,23 @@ def forecast_zones(labelled: DataFrame, key: Sequence[str] = (K.SEQ,), partition
     return split, model, zoned, metrics
 
 
+def profile_and_forecast(master: DataFrame, key: Sequence[str] = (K.SEQ,),
+                         partitions: int | None = None, with_silhouette: bool = True, **forest_kw):
+    """C2 then C3 on one stable layout of the master: it is shuffled and
+    cached once for the k-means fit and the forest fit (the labelling in
+    between is a projection, so the layout carries over unchanged).
+    Returns ``(cluster_model, labelled, silhouette, split, forest_model,
+    zoned, metrics)``."""
+    data = features.stable_layout(master, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cmodel, labelled, sil = profile_clusters(data, with_silhouette=with_silhouette, laid_out=True)
+        labelled = labelled.drop("raw_cluster_features", "scaled_cluster_features")
+        split, fmodel, zoned, metrics = forecast_zones(labelled, laid_out=True, **forest_kw)
+    finally:
+        data.unpersist()
+    return cmodel, labelled, sil, split, fmodel, zoned, metrics
+
+
 # ---------------------------------------------------------------- C4
 def classify_upload(upload: DataFrame, dictionary: Dictionary = K.MAP_STAGE_NAMES,
                     rate: str = K.UPLOAD_METRIC_RATE, count: str = K.UPLOAD_METRIC_COUNT,

@@ -38,3 +38,18 @@ def test_clusters_fitted_on_training_years_label_all_rows(spark):
     assert sil is None
     assert labelled.count() == m.count()
     assert labelled.filter(F.col(K.PROFILE) == K.UNKNOWN_PROFILE).count() == 0
+
+
+def test_single_layout_matches_separate_fits(spark):
+    """C2+C3 on one cached layout give the same forecasts as the two jobs
+    each laying the master out on their own."""
+    from panelrisk.plans import jobs
+    m = C.master(spark, SF)
+    _, labelled, _ = jobs.profile_clusters(m, with_silhouette=False)
+    labelled = labelled.drop("raw_cluster_features", "scaled_cluster_features")
+    _, _, zoned, _ = jobs.forecast_zones(labelled, trees=5)
+    *_, zoned2, _ = jobs.profile_and_forecast(m, with_silhouette=False, trees=5)
+    cols = [K.SEQ, K.PREDICTION, K.ZONE, K.PROFILE]
+    a = sorted((r[0], round(r[1], 9), r[2], r[3]) for r in zoned.select(*cols).collect())
+    b = sorted((r[0], round(r[1], 9), r[2], r[3]) for r in zoned2.select(*cols).collect())
+    assert a == b and len(a) > 0
