@@ -56,3 +56,20 @@ def test_export_has_no_driver_collect(spark, df):
     d = df([("A", 1.0)], "translated_location string, val double")
     lake.export_csv(d, path, ["translated_location", "val"])
     assert spark.read.option("header", True).csv(path).columns == ["translated_location", "val"]
+
+
+def test_partitioned_land_writes_few_files_per_year(spark):
+    """``rebalance`` before ``partitionBy``: each year's rows are written by
+    as few tasks as their size needs, not one file per (task, year)."""
+    import glob
+
+    df = spark.range(0, 3000, numPartitions=8).select(
+        F.col("id").alias("seq"), (F.col("id") % 3 + 2020).cast("int").alias("year"))
+    path = shared_path(spark, "test", "rebalanced")
+    lake.land(df, path, partition_by=["year"])
+    files = {y: glob.glob(f"{path}/year={y}/*.parquet") for y in (2020, 2021, 2022)}
+    assert all(len(v) == 1 for v in files.values()), {k: len(v) for k, v in files.items()}
+    assert spark.read.parquet(path).count() == 3000
+    plain = shared_path(spark, "test", "unbalanced")
+    lake.land(df, plain, partition_by=["year"], rebalance=False)
+    assert len(glob.glob(f"{plain}/year=2020/*.parquet")) == 8
