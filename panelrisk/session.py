@@ -9,6 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder made for a local session without ``spark.checkpoint.dir``, by application id.
+_LOCAL_DIRS: dict[str, str] = {}
+
 # Settings that matter at scale; all are plain public Spark configuration.
 SCALE_CONF = {
     # Runtime re-planning: coalesce small shuffle partitions, split skewed
@@ -44,16 +47,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is
-    unset (local tests) a private folder is created and registered.  The
-    RDD checkpoint directory (used by ``DataFrame.checkpoint``) is pointed
-    there once."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset a
+    local master gets a private folder (tests, laptops); any other master is
+    refused, because a folder of the driver's own disk is not shared.  The
+    RDD checkpoint directory (``DataFrame.checkpoint``) is pointed there once."""
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(sc.applicationId)
     if not path:
-        path = tempfile.mkdtemp(prefix="panelrisk-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="panelrisk-ckpt-", dir="/tmp")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
