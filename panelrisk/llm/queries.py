@@ -6,17 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelrisk.llm import adaptive_rules, chunk_dedup, hilbert_shards, mixing, toxicity
+from panelrisk.llm import (adaptive_rules, arc_convert, bpe_codec, chunk_dedup, hilbert_shards, mixing,
+                           piece_counts, simhash, toxicity)
 from panelrisk.llm.common import table
 
+#: Vocabulary files, by the name the tokenizer package knows them by.
+WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file, the same on every executor."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_vantage_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -25,16 +40,29 @@ def op4_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_rules.adaptive_quality(table(spark, sf_dir, "documents"))
 
 
+def op5_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.digests(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
+
+
+def op6_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(PIECE_BPE))
+
+
 def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_arc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc_convert.convert_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"), 8)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_toxicity, op3_chunk_dedup, op4_adaptive_rules, op7_pfair_mix, op9_hilbert_shards)}
+    op1_toxicity, op2_vantage_simhash, op3_chunk_dedup, op4_adaptive_rules, op5_segment_tree_bpe, op6_piece_counts,
+    op7_pfair_mix, op8_arc_convert, op9_hilbert_shards)}
 
 #: Queries that SQL can express; the others are tested against brute force.
 ORACLE = {

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import exp, expm1, log1p
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,12 @@ from pyspark.sql import functions as F
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W_]+")
 
+#: A word's features: itself, and its beginnings of these lengths (inflected forms share them).
+PREFIXES = (5, 7)
+
+#: Words whose summed weight each Python worker remembers.
+MEMORY = 300_000
+
 #: The fit's documented bounds: labelled documents, and the length of each.
 TRAIN_DOCS = 6000
 TRAIN_CHARS = 20_000
@@ -28,12 +35,31 @@ TRAIN_CHARS = 20_000
 
 @dataclass(frozen=True)
 class SentenceModel:
-    """Weights of lower-cased words, and the bias of a sentence."""
+    """Weights of lower-cased words and word beginnings (marked by a hyphen
+    at the end), and the bias of a sentence."""
 
     weights: dict[str, float]
     bias: float
 
 
+class WordWeights(dict):
+    """Summed weight of each word's features, remembered up to a bound."""
+
+    def __init__(self, model: SentenceModel) -> None:
+        self.of = model.weights
+        self.bias = model.bias
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= MEMORY:
+            self.clear()
+        x = self[word] = sum([self.of.get(f, 0.0) for f in features(word)])
+        return x
+
+
+def features(word: str) -> list[str]:
+    return [word, *[word[:k] + "-" for k in PREFIXES if len(word) > k]]
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that never teach: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
@@ -55,9 +81,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_docs: int = TRAIN_DOCS, max_chars: int = TRAIN_CHARS,
-        least_docs: int = 3, steps: int = 250, rate: float = 0.1, decay: float = 2e-4) -> SentenceModel:
+        least_docs: int = 3, steps: int = 200, rate: float = 0.1, sparse: float = 2e-4) -> SentenceModel:
     """Fit on a bounded sample (see ``training_rows``) by Adam over the whole
-    sample.  The bound is what reaches the driver, at any size of the corpus.
+    sample, with soft thresholds of strength ``sparse``, so that few words
+    keep a weight.  Toxic and clean documents weigh alike as classes.  The
+    sample is all that reaches the driver, at any size of the corpus.
 
     With no labelled row, or labels of one kind only, the model has no words
     and its bias follows the share of toxic rows."""
@@ -69,7 +97,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_docs: int = TRAIN_DOCS, max_c
         return SentenceModel({}, float(np.clip(np.log((share + 1e-6) / (1 - share + 1e-6)), -12, 12)))
     sentences, owner = [], []
     for k, text in enumerate(rows["text"]):
-        found = {frozenset(WORD.findall(s.lower())) for s in SENTENCE.findall(text)} or {frozenset()}
+        found = {frozenset(f for w in WORD.findall(s.lower()) for f in features(w))
+                 for s in SENTENCE.findall(text)} or {frozenset()}
         sentences += found
         owner += [k] * len(found)
     in_docs: dict[str, set[int]] = {}
@@ -93,33 +122,34 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_docs: int = TRAIN_DOCS, max_c
         # d loss / d z: p for clean documents, -p (1 - P) / P for toxic ones
         factor = np.where(y, -1 / np.expm1(np.minimum(total, 700)), 1.0) * weight
         dz = factor[own] / (1 + np.exp(-np.clip(z, -500, 500)))
-        grad = np.append(np.bincount(col, dz[at], n_col), dz.sum()) + decay * np.append(theta[:-1], 0) / n_docs * 10
+        grad = np.append(np.bincount(col, dz[at], n_col), dz.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        theta -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        step = rate * (1 if t < 0.6 * steps else 0.2) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        theta -= step * m / (1 - 0.9**t)
+        theta[:-1] = np.sign(theta[:-1]) * np.maximum(np.abs(theta[:-1]) - sparse * step[:-1], 0)
     keep = np.abs(theta[:-1]) > 1e-3
     return SentenceModel({w: float(x) for w, x, k in zip(names, theta, keep) if k}, float(theta[-1]))
 
 
-def score_text(text: str | None, model: SentenceModel) -> tuple[float, int, int, int, float]:
+def score_text(text: str | None, words: WordWeights) -> tuple[float, int, int, int, float]:
     """Document score, number of sentences, and the start, end and score of
     the worst sentence (-1, -1, 0 without one).  Offsets count code points."""
-    get, bias = model.weights.get, model.bias
-    log_clean, best, span, n = 0.0, -np.inf, (-1, -1), 0
+    bias = words.bias
+    log_clean, best, span, n = 0.0, -600.0, (-1, -1), 0
     memo: dict[str, float] = {}
     for found in SENTENCE.finditer(text or ""):
         s = found[0]
         z = memo.get(s)
         if z is None:
-            z = memo[s] = bias + sum([get(w, 0.0) for w in set(WORD.findall(s.lower()))])
+            z = memo[s] = bias + sum([words[w] for w in set(WORD.findall(s.lower()))])
             # a repeated sentence is one piece of evidence
-            log_clean += np.log1p(np.exp(z)) if z < 30 else z
+            log_clean += log1p(exp(z)) if z < 30 else z
         n += 1
         if z > best:
             best, span = z, found.span()
     if not n:
-        log_clean = float(np.log1p(np.exp(bias)))
-        return float(-np.expm1(-log_clean)), 0, -1, -1, 0.0
-    return float(-np.expm1(-log_clean)), n, span[0], span[1], float(1 / (1 + np.exp(-np.clip(best, -500, 500))))
+        return -expm1(-log1p(exp(bias))), 0, -1, -1, 0.0
+    return -expm1(-log_clean), n, span[0], span[1], 1 / (1 + exp(-min(best, 500)))
 
 
 def score(docs: DataFrame, model: SentenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,9 +164,9 @@ def score(docs: DataFrame, model: SentenceModel, id_col: str = "doc_id", text_co
     model_on = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = model_on.value
+        words = WordWeights(model_on.value)
         for b in batches:
-            rows = [score_text(t, m) for t in b["text"]]
+            rows = [score_text(t, words) for t in b["text"]]
             out = pd.DataFrame(rows, columns=["score", "n_sentences", "worst_start", "worst_end", "worst_score"])
             out.insert(0, "doc_id", b["doc_id"].to_numpy())
             out.insert(1, "held_out", b["held_out"].to_numpy())
