@@ -148,11 +148,10 @@ def adaptive_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("_docs")).drop("_docs")
     groups = null_safe_join(groups, renamed(fences(fine, ("lang", "source"), spread), "own"), ["lang", "source"])
     groups = null_safe_join(groups, renamed(fences(by_lang, ("lang",), spread), "lang"), ["lang"])
-    overall = fences(every.withColumn("_one", F.lit(1)), ("_one",), spread)
-    groups = (groups.withColumn("_one", F.lit(1))
-              .join(F.broadcast(renamed(overall, "all")), "_one", "left").drop("_one"))  # one row
+    overall = fences(every.withColumn("_one", F.lit(1)), ("_one",), spread).first()  # one row of numbers
     pick = lambda c: F.when(F.col("own_rows") >= least_rows, F.col(f"own_{c}")).when(
-        F.col("lang_rows") >= least_rows, F.col(f"lang_{c}")).otherwise(F.col(f"all_{c}"))
+        F.col("lang_rows") >= least_rows, F.col(f"lang_{c}")).otherwise(
+        F.lit(overall[c] if overall else None).cast("long"))
     groups = groups.select("lang", "source", *[pick(c).alias(c) for c in names])
     fenced = with_small_table(rows, groups, ["lang", "source"], "doc_id")
     out = F.array_compact(F.array(*[

@@ -20,7 +20,7 @@ from datetime import UTC, datetime
 
 import pandas as pd
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelrisk.llm.common import null_safe_join, salt, stage, work_path
@@ -187,11 +187,17 @@ def arc_digests(arcs: DataFrame) -> DataFrame:
     declared lengths."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(i, len(r.payload), sha1_base32(r.payload))
-                    for i, a in zip(b["page_id"].array, b["arc"], strict=True) for r in parse_arc(a)]
-            yield pd.DataFrame(rows, columns=["page_id", "bytes", "digest"]).astype({"page_id": "Int64"})
+            rows = [(i, none, len(r.payload), sha1_base32(r.payload))
+                    for i, none, a in zip(b["page_id"], b["no_id"], b["arc"], strict=True) for r in parse_arc(a)]
+            yield pd.DataFrame(rows, columns=["page_id", "no_id", "bytes", "digest"])
 
-    return arcs.mapInPandas(run, "page_id long, bytes long, digest string")
+    found = _whole_ids(arcs).mapInPandas(run, "page_id long, no_id boolean, bytes long, digest string")
+    return found.select(F.when(~F.col("no_id"), F.col("page_id")).alias("page_id"), "bytes", "digest")
+
+
+def _whole_ids(arcs: DataFrame) -> DataFrame:
+    """Ids without nulls (those would make pandas read the others as floats), and where they were."""
+    return arcs.withColumns({"page_id": F.coalesce("page_id", F.lit(0)), "no_id": F.col("page_id").isNull()})
 
 
 def first_of_payload(digests: DataFrame, least_bytes: int) -> DataFrame:
@@ -219,6 +225,7 @@ def convert(arcs: DataFrame, name: str = "warc", least_bytes: int = 0, archive_b
     # only repeated payloads have a row here: the least id of theirs
     known = known.groupBy("page_id").agg(F.min("first_id").alias("first_id"))
     todo = null_safe_join(arcs, known, ["page_id"])
+    todo = _whole_ids(todo.withColumn("first_id", F.coalesce("first_id", "page_id", F.lit(0))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else
@@ -226,14 +233,14 @@ def convert(arcs: DataFrame, name: str = "warc", least_bytes: int = 0, archive_b
         store.create_dir(base, recursive=True)
         out, path, records, size, done = None, "", 0, 0, []
         for b in batches:
-            for i, f, a in zip(b["page_id"].array, b["first_id"].array, b["arc"], strict=True):
-                key = None if pd.isna(i) else int(i)
-                of = None if pd.isna(f) else int(f)
+            for key, none, of, a in zip(b["page_id"].tolist(), b["no_id"], b["first_id"].tolist(), b["arc"],
+                                        strict=True):
+                key = None if none else key
                 for r in parse_arc(a):
                     if out is None:
                         path = f"{base}/{uuid.uuid4().hex}.warc.gz"
                         out, records, size = store.open_output_stream(path, compression=None), 0, 0
-                    revisit = of is not None and of != key
+                    revisit = not none and of != key
                     pack = zlib.compressobj(1, zlib.DEFLATED, 31)
                     raw = warc_record(r, key, sha1_base32(r.payload), of, revisit)
                     data = pack.compress(raw) + pack.flush()
@@ -276,7 +283,8 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                                      f["WARC-Record-ID"], f["WARC-Date"], f["WARC-Target-URI"]))
                 if len(rows) != records:
                     raise ValueError("WARC: archive does not have the records its manifest lists")
-                yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+                frame = pd.DataFrame(rows, columns=names, dtype=object)
+                yield frame.assign(**{c: pd.array(frame[c].tolist(), dtype="Int64") for c in ("page_id", "refers_to")})
 
     files = manifest.repartition(F.col("path"))
     return files.mapInPandas(run, "page_id long, payload_bytes long, payload_digest string, record_type string,"
@@ -290,10 +298,8 @@ def convert_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     Of records with equal payloads of at least ``least_bytes`` bytes the one
     with the least id is the response, the others are revisits.  Null payloads
-    are empty.  A null id is never the least unless all are null; rows that
-    repeat an id are records of their own, of the same type.  Other columns
+    are empty.  Records with a null id are responses and never referred to;
+    rows that repeat an id are records of their own, of the same type.  Other columns
     are not looked at.  An empty table gives an empty result."""
     return read_archives(convert(as_arc(pages, id_col, url_col, payload_col), least_bytes=least_bytes))
 
-
-__all__ = ["Column", "ArcRecord", "as_arc", "convert", "convert_pages", "parse_arc", "parse_warc", "read_archives"]

@@ -15,12 +15,13 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from panelrisk.llm.common import map_texts
+
 #: White space as the vocabulary's pattern counts it (Unicode's property).
 SPACE = r"\t-\r\x20\x85\xa0  -     　"
 #: Pre-tokens of the vocabulary's file, fixed by it.
@@ -180,16 +181,17 @@ def load(path: str) -> WordBpe:
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: ``doc_id``, its token ``ids`` and the
     ``decoded`` text.  Null texts are empty; empty texts have no ids."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         bpe = load(path)
-        for b in batches:
-            ids = [bpe.encode(t or "") for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "ids": ids, "decoded": list(map(bpe.decode, ids))})
 
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInPandas(run, f"doc_id {kind}, ids array<int>, decoded string")
+        def work(texts: list) -> dict:
+            ids = [bpe.encode(t or "") for t in texts]
+            return {"ids": ids, "decoded": [bpe.decode(i) for i in ids]}
+
+        return work
+
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return map_texts(src, make, {"ids": "array<int>", "decoded": "string"})
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,16 +202,16 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     Null texts are empty: no tokens, and the digests of the empty string.
     Rows are coded one by one: nothing is shuffled, repeated rows repeat, and
     an empty table gives an empty result."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    def make():
+        bpe = load(path)
+
+        def work(texts: list) -> dict:
+            rows = [bpe.ids_and_decoded(t or "") for t in texts]
+            sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+            return {"n_tokens": [r[2] for r in rows], "ids_sha256": [sha(r[0]) for r in rows],
+                    "decoded_sha256": [sha(r[1]) for r in rows]}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe, sha = load(path), hashlib.sha256
-        for b in batches:
-            rows = [bpe.ids_and_decoded(t or "") for t in b["text"]]
-            yield pd.DataFrame({
-                "doc_id": b["doc_id"].to_numpy(), "n_tokens": pd.Series([r[2] for r in rows], dtype="int64"),
-                "ids_sha256": [sha(r[0].encode()).hexdigest() for r in rows],
-                "decoded_sha256": [sha(r[1].encode()).hexdigest() for r in rows]})
-
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInPandas(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        return work
+
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return map_texts(src, make, {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"})

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -108,6 +109,26 @@ def ranked(df: DataFrame, by: Sequence[Column], name: str, rank: str = "rank") -
             .withColumn(rank, F.col("_before") + F.col("_row")).drop("_part", "_row", "_before"))
 
 
+def map_texts(src: DataFrame, make: Callable[[], Callable[[list], dict]], adds: dict[str, str]) -> DataFrame:
+    """The columns of ``src`` but ``text``, untouched, and the columns in
+    ``adds`` (name to SQL type) that the function from ``make`` gives for a
+    batch of texts.  ``make`` runs once in each task."""
+    kept = [f for f in src.schema.fields if f.name != "text"]
+    types = {"double": pa.float64(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(),
+             "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for b in batches:
+            found = work(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(f.name) for f in kept] + [pa.array(found[n], types[t]) for n, t in adds.items()],
+                names=[f.name for f in kept] + list(adds))
+
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{n} {t}" for n, t in adds.items()]
+    return src.mapInArrow(run, ", ".join(schema))
+
+
 def semi_join_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose id is in ``ids``; a null id matches a null id.
     Rows of ``docs`` are never multiplied."""

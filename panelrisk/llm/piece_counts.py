@@ -9,14 +9,14 @@ tokens.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelrisk.llm.common import map_texts
+
 #: The character that stands for a blank.
 BLANK = "▁"
 
@@ -205,15 +205,15 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     a text are ordinary text.  Null texts are empty: no bytes, no tokens.
     Rows are counted one by one: nothing is shuffled, repeated rows repeat,
     and an empty table gives an empty result."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    src = src.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         bpe = load(path)
-        for b in batches:
-            n = np.array(bpe.count(b["text"].tolist()), np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "n_bytes": b["n_bytes"].to_numpy(),
-                                "n_tokens": n, "over_limit": n > limit})
 
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInPandas(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+        def work(texts: list) -> dict:
+            n = np.array(bpe.count(texts), np.int64)
+            return {"n_tokens": n, "over_limit": n > limit}
+
+        return work
+
+    src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = src.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
+    return map_texts(src, make, {"n_tokens": "long", "over_limit": "boolean"})

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelrisk.llm import (adaptive_rules, arc_convert, bpe_codec, chunk_dedup, hilbert_shards, mixing,
-                           piece_counts, simhash, toxicity)
+                           piece_counts, simhash, suffix_dedup, toxicity)
 from panelrisk.llm.common import table
 
 #: Vocabulary files, by the name the tokenizer package knows them by.
@@ -60,9 +60,13 @@ def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"), 8)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_vantage_simhash, op3_chunk_dedup, op4_adaptive_rules, op5_segment_tree_bpe, op6_piece_counts,
-    op7_pfair_mix, op8_arc_convert, op9_hilbert_shards)}
+    op7_pfair_mix, op8_arc_convert, op9_hilbert_shards, op10_suffix_dedup)}
 
 #: Queries that SQL can express; the others are tested against brute force.
 ORACLE = {

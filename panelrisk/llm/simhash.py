@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelrisk.llm.common import null_safe_join, salt, stage
+from panelrisk.llm.common import map_texts, null_safe_join, salt, stage
 
 #: The contract's shingle length and greatest distance of a link.
 SHINGLE = 3
@@ -61,13 +61,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id`` and its fingerprint ``fp`` (the 64 bits as a signed long)."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in b["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "fp": fps.view(np.int64)})
-
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInPandas(run, f"doc_id {kind}, fp long")
+    return map_texts(src, lambda: lambda texts: {
+        "fp": np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)}, {"fp": "long"})
 
 
 # -- the tree ---------------------------------------------------------------

@@ -7,8 +7,6 @@ through the noisy-or therefore teaches the sentence scores, which then point
 to the offending sentences.
 """
 
-from __future__ import annotations
-
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelrisk.llm.common import map_texts
+
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W_]+")
 
@@ -163,18 +163,31 @@ def score(docs: DataFrame, model: SentenceModel, id_col: str = "doc_id", text_co
     rows repeat."""
     model_on = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         words = WordWeights(model_on.value)
-        for b in batches:
-            rows = [score_text(t, words) for t in b["text"]]
-            out = pd.DataFrame(rows, columns=["score", "n_sentences", "worst_start", "worst_end", "worst_score"])
-            out.insert(0, "doc_id", b["doc_id"].to_numpy())
-            out.insert(1, "held_out", b["held_out"].to_numpy())
-            out.insert(3, "predicted", (out["score"] >= 0.5).astype("int32"))
-            yield out
+
+        def work(texts: list) -> dict:
+            names = ("score", "n_sentences", "worst_start", "worst_end", "worst_score")
+            out = dict(zip(names, zip(*[score_text(t, words) for t in texts]), strict=False))
+            out = {n: out.get(n, ()) for n in names}
+            return out | {"predicted": [int(x >= 0.5) for x in out["score"]]}
+
+        return work
 
     src = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
                       F.col(text_col).alias("text"))
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInPandas(run, f"doc_id {kind}, held_out boolean, score double, predicted int, n_sentences int,"
-                                " worst_start int, worst_end int, worst_score double")
+    return map_texts(src, make, {"score": "double", "predicted": "int", "n_sentences": "int", "worst_start": "int",
+                                 "worst_end": "int", "worst_score": "double"})
+
+
+def clean(docs: DataFrame, model: SentenceModel, text_col: str = "text") -> DataFrame:
+    """The documents themselves, all columns, without those predicted toxic."""
+    model_on = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def toxic(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words = WordWeights(model_on.value)
+        for b in texts:
+            yield pd.Series([score_text(t, words)[0] >= 0.5 for t in b], dtype=bool)
+
+    return docs.where(~toxic(F.col(text_col)))
