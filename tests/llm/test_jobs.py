@@ -1,0 +1,196 @@
+"""Mixing, archives and the pipeline."""
+
+import base64
+import hashlib
+import io
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from panelrisk.llm import arc_convert, bpe_codec, chunk_dedup, mixing, simhash, toxicity
+from panelrisk.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+
+# -- mixing -----------------------------------------------------------------
+
+@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 5, "b": 3, "c": 2}, {None: 1, "a": 1e-9},
+                                     {str(i): 1 / (i + 1) for i in range(50)}])
+def test_one_period_is_pfair(weights):
+    period = 512
+    parts = mixing.whole_parts(weights, period)
+    assert sum(parts.values()) == period and min(parts.values()) >= 1
+    done = dict.fromkeys(parts, 0)
+    for k, (s, index, slot, release, deadline) in enumerate(mixing.one_period(parts, period)):
+        assert (slot, index) == (k, done[s]) and release <= slot < deadline
+        done[s] += 1
+        assert all(abs(done[x] * period - parts[x] * (slot + 1)) < period for x in parts)
+    assert done == parts
+
+
+def test_mix_of_documents(spark):
+    docs = table(spark, SF, "documents").withColumn("source", F.expr("if(doc_id % 3 = 0, 'big', source)"))
+    got = mixing.mix(docs, block=4).collect()
+    assert sorted(r.position for r in got) == list(range(docs.count()))
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in docs.collect())
+    assert all(r.release <= r.slot < r.deadline for r in got)
+    got.sort(key=lambda r: r.position)
+    assert [r.slot for r in got] == sorted(r.slot for r in got)
+    sizes = Counter(r.source for r in docs.collect())
+    share = {s: n**0.5 / sum(m**0.5 for m in sizes.values()) for s, n in sizes.items()}
+    seen, slots = Counter(), dict.fromkeys((r.slot, r.source) for r in got if r.on_target)
+    for k, (slot, source) in enumerate(slots):
+        assert slot == k  # no slot is empty while all sources last
+        seen[source] += 1
+        assert all(abs(seen[s] - share[s] * (k + 1)) < 1.1 for s in share)  # weights are rounded to the period
+
+
+def test_mix_of_odd_rows(odd_docs, no_docs):
+    got = mixing.mix(odd_docs, block=2)
+    assert sorted(r.position for r in got.collect()) == list(range(odd_docs.count()))
+    assert mixing.mix(no_docs).count() == 0
+    with pytest.raises(ValueError, match="no positive weight"):
+        mixing.mix(odd_docs, {"s": 1})
+    with pytest.raises(ValueError, match="more than 1 sources"):
+        mixing.mix(odd_docs, max_sources=1)
+
+
+def test_mixed_order_reaches_the_files(spark, tmp_path):
+    docs = table(spark, SF, "documents")
+    mixing.in_mixed_order(docs).write.parquet(str(tmp_path / "mix"))
+    ids = [r.doc_id for f in sorted(Path(tmp_path / "mix").glob("*.parquet"))
+           for r in spark.read.parquet(str(f)).select("doc_id").collect()]
+    assert ids == [r.doc_id for r in mixing.mix(docs).orderBy("position").collect()]
+
+
+# -- archives ---------------------------------------------------------------
+
+def pages_by_hand(rows):
+    digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
+    first = {}
+    for i, t in rows:
+        if i is not None:
+            first[digest(t)] = min(i, first.get(digest(t), i))
+    return Counter((i, len((t or "").encode()), digest(t),
+                    "response" if i is None or first[digest(t)] == i else "revisit",
+                    None if i is None or first[digest(t)] == i else first[digest(t)]) for i, t in rows)
+
+
+COLUMNS = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def test_pages_to_archives_and_back(spark):
+    rows = [(i, "http://x/a b", "<p>same</p>") for i in (9, 4, 7)] + [
+        (1, None, None), (2, "", ""), (3, "http://x/\r\nWARC-Type: x", "WARC/1.1\r\n\r\n"), (None, "u", "<p>same</p>"),
+        (5, "u", "\n\n1 2 3\n"), (6, "u" * 50, "é" * 70_000), (2**60 + 1, "u", "big id"), (8, "u", "r"), (8, "u", "r")]
+    pages = spark.createDataFrame([(*r, "x", 1) for r in rows],
+                                  "page_id long, url string, html string, digest string, _salt int")
+    got = arc_convert.convert_pages(pages)
+    assert Counter(tuple(r) for r in got.select(*COLUMNS).collect()) == pages_by_hand([(r[0], r[2]) for r in rows])
+    assert arc_convert.convert_pages(pages.limit(0)).count() == 0
+    real = table(spark, SF, "pages")
+    want = pages_by_hand([(r.page_id, r.html) for r in real.collect()])
+    back = arc_convert.convert_pages(real)
+    assert Counter(tuple(r) for r in back.select(*COLUMNS).collect()) == want
+    urls = {r.page_id: r.url for r in real.collect()}
+    assert all(urls[r.page_id] == r.url and r.date[:4] == "2000" for r in back.collect())
+
+
+def test_small_payloads_are_all_responses(spark):
+    pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")],
+                                  "page_id long, url string, html string")
+    got = {r.page_id: r.record_type for r in arc_convert.convert_pages(pages, least_bytes=3).collect()}
+    assert got == {1: "response", 2: "response", 3: "response", 4: "revisit"}
+
+
+def test_arc_versions_and_faults():
+    one = arc_convert.version_block(1) + b"http://a/x y 1.2.3.4 20200102030405 text/html 5\nab\ncd\n"
+    two = arc_convert.version_block(2) + b"http://b 1.2.3.4 2020 text/html 200 - - 0 f.arc 0\n\n"
+    (a,), (b,) = arc_convert.parse_arc(one), arc_convert.parse_arc(two)
+    assert (a.url, a.payload, a.content_type) == ("http://a/x y", b"ab\ncd", "text/html")
+    assert (b.payload, b.fields["Result-code"]) == (b"", "200")
+    assert arc_convert.w3c_date(a.date) == "2020-01-02T03:04:05Z"
+    assert arc_convert.w3c_date("2020") == "2020-01-01T00:00:00Z"
+    assert arc_convert.w3c_date("20201399") == arc_convert.w3c_date("x") == "1970-01-01T00:00:00Z"
+    for bad, why in ((one[:-4], "shorter"), (one.replace(b"1 0 panel", b"7 0 panel"), "unknown version"),
+                     (b"http://a 1.2.3.4 2020 text/html 1\nx\n", "no version block"), (b"abc", "without an end"),
+                     (one.replace(b"text/html 5", b"text/html five"), "declared fields")):
+        with pytest.raises(ValueError, match=why):
+            list(arc_convert.parse_arc(bad))
+
+
+def test_archives_that_were_cut_are_refused():
+    record = arc_convert.ArcRecord("u", "2020", "text/html", b"x" * 500, {})
+    raw = arc_convert.warc_record(record, 1, arc_convert.sha1_base32(record.payload), None, False)
+    assert arc_convert.parse_warc(raw)[1] == record.payload
+    import gzip
+    packed = gzip.compress(raw) + gzip.compress(raw)
+    assert list(arc_convert.members(io.BytesIO(packed), 7)) == [raw, raw]
+    with pytest.raises(ValueError, match="inside a member"):
+        list(arc_convert.members(io.BytesIO(packed[:-9])))
+    with pytest.raises(ValueError, match="declared length"):
+        arc_convert.parse_warc(raw[:-5])
+
+
+# -- pipeline ---------------------------------------------------------------
+
+def test_pipeline_stage_by_stage(spark):
+    """Every stage keeps what the brute-force reading of its decisions keeps."""
+    docs = table(spark, SF, "documents")
+    for (name, run), check in zip(corpus_pipeline.STAGES[:-1], CHECKS, strict=True):
+        out = run(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = {r.doc_id: r for r in docs.collect()}
+        kept = {r.doc_id: r for r in out.collect()}
+        assert all(rows[i] == r for i, r in kept.items()), name
+        assert set(kept) == check(spark, docs, rows), name
+        docs = spark.createDataFrame(list(kept.values()), docs.schema)
+    final = corpus_pipeline.run(spark, SF).collect()
+    bpe = bpe_codec.load(corpus_pipeline.public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    assert {r.doc_id: r.n_tokens for r in final} == {i: len(bpe.encode(r.text)) for i, r in kept.items()}
+
+
+def _clean(spark, docs, rows):
+    words = toxicity.WordWeights(toxicity.fit(docs, table(spark, SF, "labels")))
+    return {i for i, r in rows.items() if toxicity.score_text(r.text, words)[0] < 0.5}
+
+
+def _unequal(spark, docs, rows):
+    first = {}
+    for i, r in sorted(rows.items(), key=lambda x: (-len(x[1].text), x[0])):
+        first.setdefault("".join(r.text.translate({c: None for c in (9, 10, 11, 12, 13, 32)})), i)
+    return set(first.values())
+
+
+def _apart(spark, docs, rows):
+    ids = sorted(rows)
+    fps = [simhash.fingerprint(rows[i].text) for i in ids]
+    label = {i: i for i in ids}
+    while True:
+        new = {i: min(label[j] for j, g in zip(ids, fps, strict=True) if (f ^ g).bit_count() <= 2)
+               for i, f in zip(ids, fps, strict=True)}
+        if new == label:
+            return {i for i in ids if label[i] == i}
+        label = new
+
+
+CHECKS = [_clean, _unequal, _apart, lambda spark, docs, rows: set(rows)]
+
+
+def test_pipeline_stages_take_odd_rows(spark, odd_docs, no_docs, tmp_path):
+    labels = spark.createDataFrame([(6, 0, 0), (9, 0, 1)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for docs in (odd_docs, no_docs):
+        for _, run in corpus_pipeline.STAGES[:-1]:
+            out = run(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns
+            docs = spark.createDataFrame(out.collect(), docs.schema)
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+    # one of the equal texts, and one of those without words
+    left = corpus_pipeline.drop_equal(spark, odd_docs, str(tmp_path))
+    assert left.where("text LIKE 'The same%'").count() == 1
+    assert chunk_dedup.exact_groups(odd_docs).where("kept").count() >= left.select("doc_id").distinct().count()
