@@ -29,11 +29,11 @@ GRAM = 24
 
 #: Text bytes that a shard of anchors, and of fragments, stands for.
 ANCHOR_SHARD = 16 << 20
-FRAGMENT_SHARD = 24 << 20
+FRAGMENT_SHARD = 16 << 20
 
-#: Bytes of the fragments that are sorted together; a shard with more is cut
-#: by further bits of the anchors.
-SORTED_AT_ONCE = 6 << 20
+#: Bytes of the fragments that are sorted together (at about 150 bytes of
+#: memory each); a shard with more is cut by further bits of the anchors.
+SORTED_AT_ONCE = 3 << 19
 
 
 # -- anchors ----------------------------------------------------------------
@@ -333,7 +333,7 @@ def _fragment_rows(batches: Iterator[pd.DataFrame], shards: int, length: int) ->
             for anchor, i, j in zip(first[hit].tolist(), edge[:-1][hit].tolist(), edge[1:][hit].tolist()):
                 found.setdefault((anchor >> 8) % shards, []).append((doc, key, i, text[i:j + length - 1]))
                 held += j - i + length
-            if held > 32 << 20:
+            if held > 8 << 20:
                 out += _packed(found, pack)
                 found, held = {}, 0
                 yield pd.DataFrame(out, columns=["shard", "doc", "key", "data", "places", "sizes"])
