@@ -13,6 +13,7 @@ in a document with a smaller id.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -299,8 +300,9 @@ def _anchor_rows(batches: Iterator[pd.DataFrame], shards: int, length: int) -> I
         yield pd.DataFrame(rows, columns=["shard", "keys", "counts", "tags"])
 
 
-def _shared_anchors(b: pd.DataFrame) -> pd.DataFrame:
-    """Of one shard's anchors those that two texts or more have, by text."""
+def _shared_anchors(b: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """Of one shard's anchors those that two texts or more have, packed by
+    bucket of texts."""
     keys = np.concatenate([np.repeat(np.frombuffer(d, np.int64), _unpack(c, np.int32))
                            for d, c in zip(b["keys"], b["counts"], strict=True)])
     tag = np.concatenate([np.frombuffer(x, np.uint32) for x in b["tags"]])
@@ -310,12 +312,50 @@ def _shared_anchors(b: pd.DataFrame) -> pd.DataFrame:
     keys, tag = keys[new], tag[new]
     edge = runs(tag)
     shared = np.repeat(np.diff(edge) > 1, np.diff(edge))
-    keys, tag = keys[shared], tag[shared]
+    return _bucketed(keys[shared], tag[shared], buckets)
+
+
+def _bucketed(keys: np.ndarray, values: np.ndarray, buckets: int) -> pd.DataFrame:
+    """(key, value) pairs as one packed row for each bucket of keys."""
+    bucket = (keys.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((keys, bucket))
+    keys, values, bucket = keys[order], values[order], bucket[order]
+    edge, rows = runs(bucket), []
+    for i, j in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        of = runs(keys[i:j])
+        rows.append((int(bucket[i]), keys[i:j][of[:-1]].tobytes(), _pack(np.diff(of).astype(np.int32)),
+                     _pack(values[i:j])))
+    return pd.DataFrame(rows, columns=["bucket", "keys", "counts", "data"])
+
+
+def _by_key(b: pd.DataFrame, kind, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One bucket's pairs from all shards: values in the order of their keys,
+    the keys, and where each key's run of values starts (and the last ends)."""
+    keys = np.concatenate([np.repeat(np.frombuffer(k, np.int64), _unpack(c, np.int32))
+                           for k, c in zip(b["keys"], b["counts"], strict=True)])
+    values = np.concatenate([_unpack(d, kind).reshape(-1, width) for d in b["data"]])
     order = np.argsort(keys, kind="stable")
-    keys, tag = keys[order], tag[order]
+    keys, values = keys[order], values[order]
     edge = runs(keys)
-    return pd.DataFrame({"key": keys[edge[:-1]], "tags": [
-        tag[i:j].tobytes() for i, j in zip(edge[:-1].tolist(), edge[1:].tolist())]})
+    return values, keys[edge[:-1]], edge
+
+
+def _tags_of_texts(b: pd.DataFrame) -> pd.DataFrame:
+    """The shared anchors of every text of a bucket."""
+    tags, keys, edge = _by_key(b, np.uint32, 1)
+    return pd.DataFrame({"key": keys, "tags": [tags[i:j].tobytes() for i, j in
+                                               zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]})
+
+
+def _windows_of_docs(b: pd.DataFrame) -> pd.DataFrame:
+    """The removed windows of every document of a bucket."""
+    found, keys, edge = _by_key(b, np.int64, 3)
+    rows = []
+    for key, i, j in zip(keys.tolist(), edge[:-1].tolist(), edge[1:].tolist()):
+        mine = found[i:j][np.argsort(found[i:j, 0], kind="stable")]
+        of = runs(mine[:, 0])
+        rows += [(int(mine[x, 0]), key, mine[x:y, 1:].tobytes()) for x, y in zip(of[:-1].tolist(), of[1:].tolist())]
+    return pd.DataFrame(rows, columns=["doc", "key", "windows"])
 
 
 def _fragment_rows(batches: Iterator[pd.DataFrame], shards: int, length: int) -> Iterator[pd.DataFrame]:
@@ -329,7 +369,7 @@ def _fragment_rows(batches: Iterator[pd.DataFrame], shards: int, length: int) ->
             a = window_anchors(np.frombuffer(text, np.uint8), length)
             edge = runs(a)
             first = a[edge[:-1]]
-            hit = np.isin(_tag(first), np.concatenate([np.frombuffer(x, np.uint32) for x in shared]))
+            hit = np.isin(_tag(first), np.frombuffer(shared, np.uint32))
             for anchor, i, j in zip(first[hit].tolist(), edge[:-1][hit].tolist(), edge[1:][hit].tolist()):
                 found.setdefault((anchor >> 8) % shards, []).append((doc, key, i, text[i:j + length - 1]))
                 held += j - i + length
@@ -348,9 +388,9 @@ def _packed(found: dict[int, list[tuple]], pack) -> list[tuple]:
             for shard, rows in found.items()]
 
 
-def _removed_windows(b: pd.DataFrame, length: int) -> pd.DataFrame:
-    """One shard: runs of windows, by document, that also start in a document
-    with a smaller id."""
+def _removed_windows(b: pd.DataFrame, length: int, buckets: int) -> pd.DataFrame:
+    """One shard: runs of windows that also start in a document with a smaller
+    id, packed by bucket of documents."""
     owners: dict[bytes, list[tuple[int, int, int]]] = {}
     for data, places, sizes in zip(b["data"], b["places"], b["sizes"], strict=True):
         text = zstandard.ZstdDecompressor().decompress(data)
@@ -359,23 +399,23 @@ def _removed_windows(b: pd.DataFrame, length: int) -> pd.DataFrame:
                                _unpack(sizes, np.int64).tolist()):
             owners.setdefault(text[at:at + size], []).append(place)
             at += size
-    found: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    keys, found = array("q"), array("q")  # of each run: the text's key; document, first window, end
     for some in _portions(list(owners), length):
         for fragment, least, low, high in _first_docs(some, owners, length):
             for doc, key, start in owners[fragment]:
                 if doc <= low:
                     continue
                 if doc > high:
-                    found.setdefault((doc, key), []).append((start, start + len(least)))
+                    keys.append(key)
+                    found.extend((doc, start, start + len(least)))
                     continue
                 smaller = least < doc
                 edge = runs(smaller)
                 for i, j in zip(edge[:-1].tolist(), edge[1:].tolist()):
                     if smaller[i]:
-                        found.setdefault((doc, key), []).append((start + i, start + j))
-    return pd.DataFrame({"doc": np.array([d for d, _ in found], np.int64),
-                         "key": np.array([k for _, k in found], np.int64),
-                         "windows": [np.array(w, np.int64).tobytes() for w in found.values()]})
+                        keys.append(key)
+                        found.extend((doc, start + i, start + j))
+    return _bucketed(np.array(keys, np.int64), np.array(found, np.int64).reshape(-1, 3), buckets)
 
 
 def _portions(fragments: list[bytes], length: int) -> Iterator[list[bytes]]:
@@ -419,7 +459,7 @@ def _cut_rows(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataF
         rows = []
         for doc, key, ztext, parts in zip(b["doc"], b["key"], b["data"], b["windows"], strict=True):
             text = zstandard.ZstdDecompressor().decompress(ztext)
-            windows = np.concatenate([np.frombuffer(w, np.int64) for w in parts]).reshape(-1, 2)
+            windows = np.frombuffer(parts, np.int64).reshape(-1, 2)
             step = np.zeros(len(text) + 1, np.int64)
             np.add.at(step, windows[:, 0], 1)
             np.add.at(step, windows[:, 1] + length - 1, -1)
@@ -458,8 +498,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     anchors = src.where(F.octet_length("text") >= length).select("key", "text").mapInPandas(
         lambda it: _anchor_rows(it, anchor_shards, length), "shard long, keys binary, counts binary, tags binary")
-    shared = anchors.groupBy("shard").applyInPandas(_shared_anchors, "key long, tags binary")
-    shared = shared.groupBy("key").agg(F.collect_list("tags").alias("tags"))  # at most the text's own anchors
+    packed = "bucket long, keys binary, counts binary, data binary"
+    shared = (anchors.groupBy("shard").applyInPandas(lambda b: _shared_anchors(b, anchor_shards), packed)
+              .groupBy("bucket").applyInPandas(_tags_of_texts, "key long, tags binary"))
     searched = heads.where("doc = first").select("doc", "key").distinct()
     todo = stage(searched.join(shared, "key"), "suffix-todo")
 
@@ -468,8 +509,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         lambda it: _fragment_rows(it, fragment_shards, length),
         "shard long, doc long, key long, data binary, places binary, sizes binary"), "suffix-fragments")
     windows = (rows.where("shard >= 0").select("shard", "data", "places", "sizes").groupBy("shard")
-               .applyInPandas(lambda b: _removed_windows(b, length), "doc long, key long, windows binary"))
-    windows = windows.groupBy("doc", "key").agg(F.collect_list("windows").alias("windows"))
+               .applyInPandas(lambda b: _removed_windows(b, length, anchor_shards), packed)
+               .groupBy("bucket").applyInPandas(_windows_of_docs, "doc long, key long, windows binary"))
     texts = rows.where("shard < 0").select("doc", "key", "data")
     cut = (texts.join(windows, ["doc", "key"])
            .mapInPandas(lambda it: _cut_rows(it, length),
