@@ -8,6 +8,7 @@ to the offending sentences.
 """
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import exp, expm1, log1p
@@ -29,8 +30,8 @@ PREFIXES = (5, 7)
 MEMORY = 300_000
 
 #: The fit's documented bounds: labelled documents, and the length of each.
-TRAIN_DOCS = 6000
-TRAIN_CHARS = 20_000
+TRAIN_DOCS = 5000
+TRAIN_CHARS = 12_000
 
 
 @dataclass(frozen=True)
@@ -95,21 +96,32 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_docs: int = TRAIN_DOCS, max_c
     if not len(rows) or y.all() or not y.any():
         share = float(y.mean()) if len(rows) else 0.0
         return SentenceModel({}, float(np.clip(np.log((share + 1e-6) / (1 - share + 1e-6)), -12, 12)))
-    sentences, owner = [], []
-    for k, text in enumerate(rows["text"]):
-        found = {frozenset(f for w in WORD.findall(s.lower()) for f in features(w))
-                 for s in SENTENCE.findall(text)} or {frozenset()}
-        sentences += found
-        owner += [k] * len(found)
-    in_docs: dict[str, set[int]] = {}
-    for words, k in zip(sentences, owner, strict=True):
-        for w in words:
-            in_docs.setdefault(w, set()).add(k)
-    names = sorted(w for w, of in in_docs.items() if len(of) >= least_docs)
-    number = {w: i for i, w in enumerate(names)}
-    cells = [(s, number[w]) for s, words in enumerate(sentences) for w in words if w in number]
-    at, col = (np.array(x, np.int64) for x in zip(*cells, strict=True)) if cells else (np.empty(0, np.int64),) * 2
-    own, n_docs, n_sent, n_col = np.array(owner), len(y), len(sentences), len(names)
+    number: dict[str, int] = {}
+    numbers_of: dict[str, list[int]] = {}
+    at, col, owner, in_docs = array("i"), array("i"), array("i"), array("i")
+    n_sent = 0
+    for k, text in enumerate(rows.pop("text")):
+        found = set()
+        for s in SENTENCE.findall(text):
+            mine = set()
+            for w in WORD.findall(s.lower()):
+                if w not in numbers_of:
+                    numbers_of[w] = [number.setdefault(f, len(number)) for f in features(w)]
+                mine.update(numbers_of[w])
+            found.add(frozenset(mine))
+        for mine in found or {frozenset()}:
+            at.extend([n_sent] * len(mine))
+            col.extend(sorted(mine))
+            owner.append(k)
+            n_sent += 1
+        in_docs.extend(set().union(*found))
+    del numbers_of
+    often = np.bincount(np.array(in_docs, np.int32), minlength=len(number)) >= least_docs
+    at, col, own = np.array(at, np.int32), np.array(col, np.int32), np.array(owner, np.int32)
+    cells = often[col]
+    at, col = at[cells], (np.cumsum(often) - 1).astype(np.int32)[col[cells]]
+    names = [f for f, x in zip(number, often, strict=True) if x]
+    n_docs, n_col = len(y), len(names)
 
     theta = np.zeros(n_col + 1)
     theta[-1] = -4.0
