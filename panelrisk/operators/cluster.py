@@ -19,10 +19,15 @@ from .features import scaler
 def cluster_pipeline(features: Sequence[str], k: int = K.CLUSTER_K, seed: int = K.CLUSTER_SEED,
                      min_divisible: float = K.CLUSTER_MIN_DIVISIBLE,
                      prediction: str = K.CLUSTER) -> Pipeline:
-    """assemble (skip invalid) -> standardise -> bisecting k-means."""
+    """assemble (skip invalid) -> scale -> bisecting k-means.
+
+    Features are divided by their deviations but not centred: squared
+    distances do not depend on the shift, while centring would leave the
+    root centre at rounding noise, which differs with the partitioning and
+    would then pick the first split."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw_cluster_features", handleInvalid="skip"),
-        scaler("raw_cluster_features", "scaled_cluster_features"),
+        scaler("raw_cluster_features", "scaled_cluster_features", center=False),
         BisectingKMeans(featuresCol="scaled_cluster_features", predictionCol=prediction,
                         k=k, seed=seed, minDivisibleClusterSize=min_divisible),
     ])
@@ -36,6 +41,10 @@ def fit_clusters(df: DataFrame, features: Sequence[str], fit_on: DataFrame | Non
     return model, model.transform(df)
 
 
+#: Most clusters whose statistics are fetched (one row each).
+MAX_CLUSTERS = 1000
+
+
 def _cluster_stats(df: DataFrame, feats: Sequence[Column], cluster: str) -> list:
     """Per-cluster count, feature sums and sum of squared norms: one
     aggregate job returning k small rows (k = number of clusters)."""
@@ -43,7 +52,10 @@ def _cluster_stats(df: DataFrame, feats: Sequence[Column], cluster: str) -> list
     stats = df.filter(F.col(cluster).isNotNull()).groupBy(cluster).agg(
         F.count(F.lit(1)).alias("n"), F.array(*[F.sum(f) for f in feats]).alias("s"),
         F.sum(sq).alias("ss"))
-    return stats.collect()
+    rows = stats.limit(MAX_CLUSTERS + 1).collect()
+    if len(rows) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} cluster ids in {cluster}")
+    return rows
 
 
 def silhouette_scores(df: DataFrame, features: Sequence[str] | str, cluster: str,
@@ -55,7 +67,7 @@ def silhouette_scores(df: DataFrame, features: Sequence[str] | str, cluster: str
     rows of sums, the same statistics ``ClusteringEvaluator`` gathers)
     replaces all pairwise distances; each row then needs k dot products.
     ``a`` (own cluster) excludes the point itself, a singleton cluster
-    scores 0.  ``features``: numeric columns, or one vector column (then
+    scores 0; a row with a null feature or cluster scores null.  ``features``: numeric columns, or one vector column (then
     ``dim`` is needed)."""
     if isinstance(features, str):
         from pyspark.ml.functions import vector_to_array
@@ -63,7 +75,11 @@ def silhouette_scores(df: DataFrame, features: Sequence[str] | str, cluster: str
         feats = [arr[i] for i in range(dim)]
     else:
         feats = [F.col(c).cast("double") for c in features]
-    stats = _cluster_stats(df, feats, cluster)
+    # rows with a null feature or cluster have no silhouette and do not count
+    valid = F.col(cluster).isNotNull()
+    for f in feats:
+        valid = valid & f.isNotNull()
+    stats = _cluster_stats(df.filter(valid), feats, cluster)
     xx = sum((f * f for f in feats), F.lit(0.0))
     cid = F.col(cluster)
 
@@ -79,14 +95,14 @@ def silhouette_scores(df: DataFrame, features: Sequence[str] | str, cluster: str
         n_own = (F.when(cid == st[cluster], F.lit(st["n"])) if n_own is None
                  else n_own.when(cid == st[cluster], F.lit(st["n"])))
     if len(stats) < 2:
-        return df.withColumn("silhouette", F.lit(0.0))
+        return df.withColumn("silhouette", F.when(valid, F.lit(0.0)))
     # nearest other cluster: least() skips the null put in for the own one
     b = F.least(*[F.when(cid != st[cluster], mean_dist(st)) for st in stats])
     s = (F.when(n_own <= 1, F.lit(0.0))
           .when(a < b, 1.0 - a / b)
           .when(a > b, b / a - 1.0)
           .otherwise(F.lit(0.0)))
-    return df.withColumn("silhouette", s)
+    return df.withColumn("silhouette", F.when(valid, s))
 
 
 def silhouette(df: DataFrame, features: Sequence[str] | str, cluster: str,
@@ -112,9 +128,9 @@ def rank_labels(df: DataFrame, cluster: str = K.CLUSTER, value: str = K.VAL,
     the labels then enter the plan as a constant map: a projection, no
     join and no Python UDF."""
     means = (df.filter(F.col(cluster).isNotNull()).groupBy(cluster)
-               .agg(F.avg(value).alias("m")).collect())
+               .agg(F.avg(value).alias("m")).limit(len(labels) + 1).collect())
     ranked = sorted(means, key=lambda r: (r["m"] is None, r["m"], r[cluster]))
     if len(ranked) > len(labels):
-        raise ValueError(f"{len(ranked)} clusters but only {len(labels)} labels")
+        raise ValueError(f"more clusters than the {len(labels)} labels")
     mapping = {r[cluster]: labels[i] for i, r in enumerate(ranked)}
     return df.withColumn(out, label_or_default(cluster, mapping, default))

@@ -77,8 +77,8 @@ def standardize_columns(df: DataFrame, columns: Sequence[str], suffix: str = "_z
     return df.withColumns(out)
 
 
-def scaler(inp: str, out: str) -> StandardScaler:
-    return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)
+def scaler(inp: str, out: str, center: bool = True) -> StandardScaler:
+    return StandardScaler(inputCol=inp, outputCol=out, withMean=center, withStd=True)
 
 
 def string_index(df: DataFrame, column: str, out: str | None = None,
@@ -91,18 +91,25 @@ def string_index(df: DataFrame, column: str, out: str | None = None,
     return model.transform(df)
 
 
+#: Partitions that fits are laid out in, where the job names no other number.
+FIT_PARTITIONS = 32
+
+
 def layout_partitions(df: DataFrame, partitions: int | None = None) -> int:
-    """Partition count for ``stable_layout``: the given number, else the
-    session's ``spark.sql.shuffle.partitions`` (sized for the cluster, so a
-    fit is spread over all executors; fixed per configuration, so repeatable)."""
-    if partitions:
-        return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Partition count for ``stable_layout``: a parameter of the job, stored
+    with it, never read from the session: a cluster setting must not decide
+    what a fit sees."""
+    return int(partitions or FIT_PARTITIONS)
+
+
+SORTABLE = ("int", "bigint", "double", "float", "string", "boolean", "date", "timestamp")
 
 
 def stable_layout(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Hash-partition by a unique key into a fixed number of partitions and
-    sort within them, so iterative fits (k-means, forests) see the same data
+    """Hash-partition by a key into a fixed number of partitions and sort
+    within them, by the key and then by all other sortable columns (the key
+    may repeat, where a covariate fans out), so iterative fits (k-means, forests) see the same data
     layout whatever the input partitioning was, and give identical models.
     An explicit count is kept by AQE (it does not coalesce it)."""
-    return df.repartition(layout_partitions(df, partitions), *keys).sortWithinPartitions(*keys)
+    rest = [c for c, t in df.dtypes if c not in keys and t in SORTABLE]
+    return df.repartition(layout_partitions(df, partitions), *keys).sortWithinPartitions(*keys, *rest)

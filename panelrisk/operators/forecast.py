@@ -41,13 +41,13 @@ def forest_pipeline(categorical: Sequence[str] = (K.LOCATION, K.MEASURE),
                     label: str = K.VAL, trees: int = K.FOREST_TREES,
                     max_bins: int = K.FOREST_MAX_BINS, seed: int = K.FOREST_SEED) -> Pipeline:
     """index categoricals (keep unseen) -> assemble (skip invalid) -> forest."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep")
-           for c in categorical]
-    asm = VectorAssembler(inputCols=[f"{c}_idx" for c in categorical] + list(numeric),
-                          outputCol="features", handleInvalid="skip")
+    indexed = [f"{c}_idx" for c in categorical]
+    # one indexer for all columns: one pass over the training rows
+    idx = StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep")
+    asm = VectorAssembler(inputCols=indexed + list(numeric), outputCol="features", handleInvalid="skip")
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees,
                                maxBins=max_bins, seed=seed)
-    return Pipeline(stages=idx + [asm, rf])
+    return Pipeline(stages=[idx, asm, rf])
 
 
 def fit_forest(train: DataFrame, **kw) -> PipelineModel:
@@ -59,16 +59,17 @@ def regression_metrics(pred: DataFrame, label: str = K.VAL,
     """``(n, r_squared, rmse, mae)`` in one aggregate pass (the three
     evaluator calls of the original would scan the predictions thrice).
     Total sum of squares comes from ``var_pop`` (a numerically stable,
-    mergeable central moment)."""
+    mergeable central moment).  A constant label has no r_squared (null);
+    without rows all three are null."""
     y, p = F.col(label), F.col(prediction)
     e = y - p
     agg = pred.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"),
                    F.sum(F.abs(e)).alias("sae"), F.var_pop(y).alias("vy"))
     return agg.select(
         "n",
-        (1.0 - F.col("sse") / (F.col("vy") * F.col("n"))).alias("r_squared"),
-        F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
-        (F.col("sae") / F.col("n")).alias("mae"))
+        (1.0 - F.try_divide(F.col("sse"), F.col("vy") * F.col("n"))).alias("r_squared"),
+        F.sqrt(F.try_divide(F.col("sse"), F.col("n"))).alias("rmse"),
+        F.try_divide(F.col("sae"), F.col("n")).alias("mae"))
 
 
 def quantile_zones(pred: DataFrame, column: str = K.PREDICTION,
@@ -87,11 +88,11 @@ def entity_report(scored: DataFrame, history: DataFrame, entity: str = K.TARGET_
                                                 K.ZONE, K.GDP, K.POP, K.PROFILE),
                   history_cols: Sequence[str] = (K.TRANSLATED, K.YEAR, K.VAL, K.PROFILE)) -> DataFrame:
     """Scored rows of one entity; when it has none, its history instead.
-    A ``source`` column says which.  Whether any scored row exists is a
+    Rows come in order of year; a ``source`` column says which they are.  Whether any scored row exists is a
     ``limit(1)`` probe (stops at the first match)."""
     hit = scored.filter(F.col(entity_col) == F.lit(entity)).select(*scored_cols)
     if hit.limit(1).count() > 0:
-        return hit.withColumn("source", F.lit("scored"))
+        return hit.withColumn("source", F.lit("scored")).orderBy(K.YEAR)
     hist = history.filter(F.col(entity_col) == F.lit(entity)).select(*history_cols)
     return union_by_name(hit.withColumn("source", F.lit("scored")),
-                         hist.withColumn("source", F.lit("history")))
+                         hist.withColumn("source", F.lit("history"))).orderBy(K.YEAR)

@@ -80,8 +80,10 @@ def first_match_lookup(left: DataFrame, right: DataFrame, key: str | Sequence[st
 
 
 def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left rows with no match on the right (``NOT EXISTS``); null keys never match."""
-    r = right.select(F.col(right_key).alias("__k")).filter(F.col("__k").isNotNull())
+    """Left rows with no match on the right (``NOT EXISTS``); null keys never
+    match.  The right side is reduced to its distinct keys first (a partial
+    aggregate), so a hot key is one row from each task."""
+    r = right.select(F.col(right_key).alias("__k")).filter(F.col("__k").isNotNull()).distinct()
     return left.join(r, left[left_key] == r["__k"], "left_anti")
 
 

@@ -135,8 +135,11 @@ def _assembled(spark, d, pattern=V.MEASURE_PATTERN):
     staged = staged_panel(spark, d, metric=None)      # one join for both masters
     pred, mall = _map_pred(spark, d, staged), _map_master(spark, d, staged)
     up = _map_upload(spark, d)
+    # the view's count rows, one for each (entity, year, measure): the join cannot explode
+    counts = (conform.slice_equal(mall, K.METRIC, V.COUNT).groupBy(K.TRANSLATED, K.YEAR, K.MEASURE)
+              .agg(F.max(K.VAL).alias(K.VAL), F.min(K.SEQ).alias(K.SEQ)))
     return jobs.assemble_results(pred, mall, up, year=V.TARGET_YEAR, pattern=pattern,
-                                 count_metric=V.COUNT), pred, mall
+                                 count_metric=V.COUNT, counts=counts), pred, mall
 
 
 def _final(spark, d):
@@ -149,7 +152,7 @@ def _final(spark, d):
 def q_csv_glob_scan(spark, d):
     p = V.panel(spark, d)
     path = shared_path(spark, "lake", "glob")
-    lake.land(p.repartition(4, K.SEQ), path, "csv")
+    lake.land(p, path, "csv")
     schema = "seq bigint, location_name string, measure_name string, metric_name string, year int, val double"
     return csv_src.read_csv_files(spark, f"{path}/part-*.csv", schema)
 
@@ -196,7 +199,7 @@ def _metrics_frame(spark, d):
     summ = aggregates.split_summary(m, split)
     reg = forecast.regression_metrics(scored(spark, d, built=m.drop(K.CLUSTER)))
     r, s_ = reg.first(), sil.first()
-    return (summ.select(F.lit("Random Forest").alias("model"), "split_year", "training_rows",
+    return (summ.select(F.lit("Persistence").alias("model"), "split_year", "training_rows",
                         "testing_rows",
                         F.lit(r["r_squared"]).alias("r_squared"), F.lit(r["rmse"]).alias("rmse"),
                         F.lit(r["mae"]).alias("mae"),
@@ -565,7 +568,7 @@ def q_final_entity_table(spark, d):
 
 
 def q_bisecting_clusters(spark, d):
-    _, labelled, _ = jobs.profile_clusters(master(spark, d))
+    _, labelled, _ = jobs.profile_clusters(master(spark, d), with_silhouette=False)
     return labelled.select(K.SEQ, K.CLUSTER, K.PROFILE)
 
 

@@ -1,5 +1,6 @@
 """Composite jobs C1-C7: each is a lazy DataFrame -> DataFrame function
-built from the operators; nothing is collected in the middle of a plan."""
+built from the operators.  Medians, cuts, the split year and per-cluster
+statistics are fetched as a few numbers and enter the plans as literals."""
 
 from __future__ import annotations
 
@@ -167,20 +168,29 @@ def classify_upload(upload: DataFrame, dictionary: Dictionary = K.MAP_STAGE_NAME
 # ---------------------------------------------------------------- C5
 def assemble_results(pred: DataFrame, master: DataFrame, classified_upload: DataFrame,
                      year: int = K.MAP_YEAR, pattern: str = K.MAP_MEASURE_PATTERN,
-                     count_metric: str = K.METRIC_COUNT) -> DataFrame:
+                     count_metric: str = K.METRIC_COUNT, counts: DataFrame | None = None,
+                     duplicates: str = "multiply") -> DataFrame:
     """Predictions of the map year whose measure matches, with the real
     counts joined on (entity, year, measure) null-safely, stacked over the
     classified uploads.  ``source_rank``/``seq``/``sub_seq`` keep the
-    original row order for keep-first de-duplication."""
+    original row order for keep-first de-duplication.
+
+    A count key that repeats multiplies the prediction rows, as a pandas
+    merge does; ``duplicates`` may ask for ``"first"`` or ``"error"``
+    instead.  ``counts``: the count rows, where they are not the master's."""
     pf = conform.year_and_pattern(pred, year, pattern)
     if K.METRIC in master.columns:
-        cnt = (conform.slice_equal(master, K.METRIC, count_metric)
-               .select(K.TRANSLATED, K.YEAR, K.MEASURE, K.VAL, K.SEQ))
-        # A duplicated (entity, year, measure) on the count side takes its
-        # first row instead of multiplying prediction rows (no all-pairs).
-        pf = joins.first_match_lookup(pf, cnt, [K.TRANSLATED, K.YEAR, K.MEASURE], K.VAL,
-                                      [K.SEQ], K.COUNT_VAL)
-        pf = pf.withColumnRenamed(f"__o_{K.SEQ}", "sub_seq")
+        if counts is None:
+            counts = conform.slice_equal(master, K.METRIC, count_metric)
+        keys = [K.TRANSLATED, K.YEAR, K.MEASURE]
+        cnt = counts.select(*keys, F.col(K.VAL).alias(K.COUNT_VAL), F.col(K.SEQ).alias("sub_seq"))
+        if duplicates == "error":
+            joins.assert_unique(cnt, keys)
+        elif duplicates == "first":
+            cnt = dedupe.keep_first(cnt, keys, ["sub_seq"])
+        elif duplicates != "multiply":
+            raise ValueError(f"duplicates: {duplicates!r}")
+        pf = joins.left_join_null_safe(pf, cnt, keys)
     else:
         pf = conform.ensure_columns(pf, {K.COUNT_VAL: "double", "sub_seq": "bigint"})
     return setops.union_by_name(pf.withColumn("source_rank", F.lit(0)),

@@ -135,23 +135,17 @@ mstd AS (
   SELECT m.* EXCLUDE (translated_location),
          {_strip('coalesce(d.target, m.translated_location)')} AS translated_location
   FROM master_all m LEFT JOIN dict d ON m.translated_location = d.source),
-up_nat AS (
-  SELECT n.n_nationkey, n.n_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE r.r_name IN {_in(V.UPLOAD_REGIONS)}),
 up_first AS (
-  SELECT n.n_nationkey, n.n_name, l.l_returnflag, l.l_linestatus, l.l_extendedprice AS v
-  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN up_nat n ON s.s_nationkey = n.n_nationkey
-  WHERE year(l.l_shipdate) = {y}
-  QUALIFY row_number() OVER (PARTITION BY n.n_nationkey, n.n_name, l.l_returnflag, l.l_linestatus
-          ORDER BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice) = 1),
+  SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, l_extendedprice AS v FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                             ORDER BY l_partkey, l_suppkey, l_extendedprice, l_returnflag) = 1),
 uploads AS (
-  SELECT CAST(n_nationkey AS BIGINT) * 6
-         + (CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END) * 2
-         + (CASE l_linestatus WHEN 'O' THEN 0 ELSE 1 END) AS seq,
+  SELECT CAST(l_orderkey AS BIGINT) * {V.UPLOAD_LINES} + l_linenumber AS seq,
          n_name AS location_name,
          CASE l_returnflag WHEN 'R' THEN {rate} WHEN 'A' THEN {count} ELSE 'Other' END AS metric_name,
          v / {V.UPLOAD_DIVISOR} AS val
-  FROM up_first),
+  FROM up_first JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+       JOIN region ON n_regionkey = r_regionkey WHERE r_name IN {_in(V.UPLOAD_REGIONS)}),
 ustd AS (
   SELECT u.seq, {_strip('coalesce(d.target, u.location_name)')} AS location_name, u.metric_name, u.val
   FROM uploads u LEFT JOIN dict d ON u.location_name = d.source),
@@ -166,9 +160,8 @@ classified AS (
   FROM ustd r LEFT JOIN ucnt c ON r.location_name IS NOT DISTINCT FROM c.location_name
   WHERE r.metric_name = {rate}),
 cnt AS (
-  SELECT translated_location, year, measure_name, val AS jumlah_kasus_absolut, seq AS sub_seq
-  FROM mstd WHERE metric_name = {count}
-  QUALIFY row_number() OVER (PARTITION BY translated_location, year, measure_name ORDER BY seq) = 1),
+  SELECT translated_location, year, measure_name, max(val) AS jumlah_kasus_absolut, min(seq) AS sub_seq
+  FROM mstd WHERE metric_name = {count} GROUP BY translated_location, year, measure_name),
 pf AS (SELECT * FROM pstd WHERE year = {y} AND {_contains('measure_name', pattern)}),
 pfj AS (
   SELECT pf.*, c.jumlah_kasus_absolut, c.sub_seq FROM pf LEFT JOIN cnt c
@@ -262,7 +255,7 @@ _PAD = "chr(9) || '  ' || p_name || ' ' || chr(10)"
 _PROBS = [0.2, 0.33, 0.5, 0.66, 0.8]
 _QCOLS_Y = ", ".join(f"CAST(quantile_disc(year, {p}) AS DOUBLE) AS q{int(round(p * 100)):02d}" for p in _PROBS)
 _QCOLS_P = ", ".join(f"quantile_disc(prediction, {p}) AS q{int(round(p * 100)):02d}" for p in _PROBS)
-_METRICS_ROW = """SELECT 'Random Forest' AS model, summ.split_year, summ.training_rows, summ.testing_rows,
+_METRICS_ROW = """SELECT 'Persistence' AS model, summ.split_year, summ.training_rows, summ.testing_rows,
        round(reg.r_squared, 4) AS r_squared, round(reg.rmse, 4) AS rmse, round(reg.mae, 4) AS mae,
        round(sil.silhouette, 4) AS silhouette_score
 FROM summ, reg, sil"""
