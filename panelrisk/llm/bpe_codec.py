@@ -1,18 +1,17 @@
 """BPE encoding and decoding, merging with a segment tree over pair ranks.
 
 The leaves of the tree are the ranks of adjacent symbol pairs; every node
-holds the least rank below it, so the root leads to the leftmost pair of
-lowest rank.  A merge changes three leaves and their paths upwards, so a
-pre-token of n symbols is encoded in O(n log n), also when it is a megabyte
-long.
+holds the least rank below it, so the root names the leftmost pair of lowest
+rank.  A merge changes three leaves and their paths upwards, so a pre-token of
+n symbols is encoded in O(n log n), also when it is a megabyte long.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
-from collections.abc import Iterator
 from functools import lru_cache
 
 import regex
@@ -26,6 +25,8 @@ from panelrisk.llm.common import map_texts
 SPACE = r"\t-\r\x20\x85\xa0  -     　"
 #: Pre-tokens of the vocabulary's file, fixed by it.
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+#: The same for lower-case ASCII.
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r\x20a-z0-9]+")
 
 #: Characters outside these long-settled blocks may be newer than one of the
 #: Unicode tables at hand; texts with any are split by the library's own tables.
@@ -33,8 +34,8 @@ UNSETTLED = regex.compile(r"[^\x00-\u024f\u0300-\u036f\u0386-\u03ff\u0400-\u0481
                           r"\u2000-\u206f\u20ac\u3000-\u303f\u3041-\u3096\u30a0-\u30ff\u4e00-\u9fa5\uac00-\ud7a3"
                           r"\uff00-\uff9f]")
 
-#: Pre-tokens remembered by each Python worker.
-MEMORY = 200_000
+#: Pre-tokens in each of the two generations that a Python worker remembers.
+MEMORY = 100_000
 
 
 def byte_symbols() -> list[str]:
@@ -45,64 +46,68 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in visible else chr(next(spare)) for b in range(256)]
 
 
-class PairTree:
-    """Least rank of adjacent pairs, leftmost first; no pair is ``NONE``."""
-
-    NONE = 1 << 60
-
-    def __init__(self, ranks: list[int]) -> None:
-        self.size = 1 << max(0, (len(ranks) - 1).bit_length())
-        self.low = [self.NONE] * self.size + ranks + [self.NONE] * (self.size - len(ranks))
-        for i in range(self.size - 1, 0, -1):
-            self.low[i] = min(self.low[2 * i], self.low[2 * i + 1])
-
-    def leftmost_least(self) -> int:
-        """Place of the leftmost pair of lowest rank, -1 without a pair."""
-        low, want, i = self.low, self.low[1], 1
-        if want == self.NONE:
-            return -1
-        while i < self.size:
-            i *= 2
-            if low[i] != want:
-                i += 1
-        return i - self.size
-
-    def put(self, place: int, rank: int) -> None:
-        low, i = self.low, place + self.size
-        low[i] = rank
-        i >>= 1
-        while i:
-            a, b = low[2 * i], low[2 * i + 1]
-            least = a if a <= b else b
-            if low[i] == least:
-                break
-            low[i] = least
-            i >>= 1
+#: A leaf or node without a pair.
+NONE = 1 << 60
+
+#: Children of a node of the tree, as a power of two.
+FAN = 4
+
+
+def pair_tree(leaves: list[int]) -> list[list[int]]:
+    """Segment tree over adjacent pairs, level by level from the leaves to the
+    root: a node is the least of its (up to sixteen) children."""
+    levels = [leaves]
+    while len(levels) == 1 or len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append([min(below[k:k + (1 << FAN)]) for k in range(0, len(below), 1 << FAN)])
+    return levels
 
 
 def merge(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Merge the leftmost pair of lowest rank until none is left."""
-    n = len(symbols)
+    """Merge the leftmost pair of lowest rank until none is left.
+
+    A leaf is its pair's rank followed by its place, so that the root names
+    the pair to merge.  A merge changes up to three leaves and the nodes above
+    them."""
+    n, get = len(symbols), ranks.get
     if n < 2:
         return symbols
-    none, get = PairTree.NONE, ranks.get
-    tree = PairTree([get(p, none) for p in zip(symbols, symbols[1:])])
-    text = list(symbols)
+    bits = n.bit_length()
+    mask = (1 << bits) - 1
+    leaves = [NONE if (r := get(p)) is None else r << bits for p in zip(symbols, symbols[1:])]
+    leaves = [x if x == NONE else x | k for k, x in enumerate(leaves)]
+    levels = pair_tree(leaves)
+    top = levels[-1]
+    if top[0] == NONE:
+        return symbols
+    above = list(zip(levels, levels[1:]))
+    text: list[str | None] = list(symbols)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    while (i := tree.leftmost_least()) >= 0:
+    while (root := top[0]) != NONE:
+        i = root & mask
         j = after[i]  # the pair is (i, j): it is kept at the place of its left symbol
-        text[i] += text[j]
-        text[j] = ""
+        s = text[i] = text[i] + text[j]
+        text[j] = None
         k = after[i] = after[j]
         if k < n:
-            tree.put(j, none)
             before[k] = i
-            tree.put(i, get((text[i], text[k]), none))
+            leaves[j] = NONE
+            rank = get((s, text[k]))
+            leaves[i] = NONE if rank is None else rank << bits | i
         else:
-            tree.put(i, none)
+            leaves[i] = NONE
         if (h := before[i]) >= 0:
-            tree.put(h, get((text[h], text[i]), none))
-    return [t for t in text if t]
+            rank = get((text[h], s))
+            leaves[h] = NONE if rank is None else rank << bits | h
+        if len(leaves) <= 1 << FAN:
+            top[0] = min(leaves)
+            continue
+        changed = {p >> FAN for p in (h, i, j) if 0 <= p < n - 1}
+        for below, nodes in above:
+            for p in changed:
+                nodes[p] = min(below[p << FAN:p + 1 << FAN])
+            changed = {p >> FAN for p in changed}
+    return [t for t in text if t is not None]
 
 
 class WordBpe:
@@ -121,49 +126,62 @@ class WordBpe:
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
         self.symbols = byte_symbols()
         self.known: dict[str, tuple[str, str, int]] = {}
+        self.old: dict[str, tuple[str, str, int]] = {}
         self.bytes = {c: b for b, c in enumerate(self.symbols)}
         self.library = Tokenizer.from_file(path)
 
     def word(self, piece: str) -> list[int]:
         """Ids of a pre-token."""
-        symbols = [self.symbols[b] for b in piece.encode("utf-8", "surrogatepass")]
+        symbols = list(map(self.symbols.__getitem__, piece.encode("utf-8", "surrogatepass")))
         symbols[-1] += self.end
         return [self.ids[s] for s in merge(symbols, self.ranks) if s in self.ids]
 
-    def pieces(self, text: str) -> Iterator[str]:
+    def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a text; special strings stay whole."""
+        if text.isascii() and "<|" not in text:
+            return ASCII_PIECES.findall(text.lower())
+        out: list[str] = []
         for part in self.marks.split(text) if "<|" in text else (text,):
             if part in self.special:
-                yield part
-                continue
-            if not part.isascii():
-                if UNSETTLED.search(part):
-                    normal = self.library.normalizer.normalize_str(part)
-                    for mapped, _ in self.library.pre_tokenizer.pre_tokenize_str(normal):
-                        yield bytes(map(self.bytes.__getitem__, mapped)).decode()
-                    continue
+                out.append(part)
+            elif part.isascii():
+                out += ASCII_PIECES.findall(part.lower())
+            elif UNSETTLED.search(part):
+                normal = self.library.normalizer.normalize_str(part)
+                out += [bytes(map(self.bytes.__getitem__, mapped)).decode()
+                        for mapped, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+            else:
                 part = unicodedata.normalize("NFC", part)
                 part = part.replace("Σ", "σ")  # each character alone: no final form
-            yield from PIECES.findall(part.lower())
+                out += PIECES.findall(part.lower())
+        return out
+
+    def coded(self, piece: str) -> tuple[str, str, int]:
+        """Ids and tokens of a pre-token, each joined by blanks, and their number.
+
+        Short pre-tokens are remembered in two generations: the old one goes
+        when the young one is full, what is met again moves to the young one."""
+        got = self.old.get(piece)
+        if got is None:
+            found = [self.special[piece]] if piece in self.special else self.word(piece)
+            got = " ".join(map(str, found)), " ".join([self.tokens[i] for i in found]), len(found)
+        if len(piece) <= 64:
+            if len(self.known) >= MEMORY:
+                self.old, self.known = self.known, {}
+            self.known[piece] = got
+        return got
 
     def ids_and_decoded(self, text: str) -> tuple[str, str, int]:
         """Ids and decoded tokens, each joined by blanks, and their number.
         The file names no decoder, so decoding joins the tokens by blanks."""
-        known, ids, tokens, n = self.known, [], [], 0
-        for p in self.pieces(text):
-            got = known.get(p)
-            if got is None:
-                found = [self.special[p]] if p in self.special else self.word(p)
-                got = " ".join(map(str, found)), " ".join([self.tokens[i] for i in found]), len(found)
-                if len(p) <= 64:
-                    if len(known) >= MEMORY:
-                        known.clear()
-                    known[p] = got
-            if got[2]:
-                ids.append(got[0])
-                tokens.append(got[1])
-                n += got[2]
-        return " ".join(ids), " ".join(tokens), n
+        pieces = self.pieces(text)
+        coded = list(map(self.known.get, pieces))
+        if None in coded:
+            coded = [c or self.known.get(p) or self.coded(p) for c, p in zip(coded, pieces)]
+        ids, tokens, numbers = zip(*coded) if coded else ((), (), ())
+        if 0 in numbers:  # pre-tokens without a token leave no blank
+            ids, tokens = filter(None, ids), [t for t, n in zip(tokens, numbers) if n]
+        return " ".join(ids), " ".join(tokens), sum(numbers)
 
     def encode(self, text: str) -> list[int]:
         ids = self.ids_and_decoded(text)[0]
