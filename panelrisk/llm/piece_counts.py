@@ -9,7 +9,9 @@ tokens.
 from __future__ import annotations
 
 import re
+import sys
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,7 +41,11 @@ class PieceBpe:
                        if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         scores = {sp.id_to_piece(i): sp.get_score(i) for i in range(size)}
         number = {p: i for i, p in enumerate(self.pieces)}
-        self.chars = {p: i for p, i in number.items() if len(p) == 1}
+        # number of each character, by code point; -1 without a piece
+        self.chars = np.full(sys.maxunicode + 1, -1, np.int64)
+        for p, i in number.items():
+            if len(p) == 1:
+                self.chars[ord(p)] = i
         # equal scores are equal ranks: of those the leftmost pair goes first
         order = {s: r for r, s in enumerate(sorted({scores[p] for p in self.pieces}, reverse=True))}
         keys, made, rank = [], [], []
@@ -54,7 +60,8 @@ class PieceBpe:
         self.keys = np.array(keys, np.int64)[by]
         self.made, self.rank = np.array(made, np.int64)[by], np.array(rank, np.int64)[by]
         # neighbours inside some piece: no merge can ever join any others
-        self.joined = {p[k:k + 2] for p in self.pieces for k in range(len(p) - 1)}
+        self.joined = np.array(sorted({ord(p[k]) << 32 | ord(p[k + 1])
+                                       for p in self.pieces for k in range(len(p) - 1)} | {1 << 62}), np.int64)
         self.known: dict[str, int] = {}
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,117 +72,101 @@ class PieceBpe:
         hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
         return np.where(hit, self.rank[at], NONE), self.made[at]
 
-    def split(self, word: str) -> list[str]:
-        """A pre-token cut wherever two neighbours are in no piece together."""
-        if len(word) < 2:
-            return [word]
-        joined, out, start = self.joined, [], 0
-        for k in range(len(word) - 1):
-            if word[k:k + 2] not in joined:
-                out.append(word[start:k + 1])
-                start = k + 1
-        out.append(word[start:])
-        return out
-
     def surviving(self, words: list[str]) -> np.ndarray:
-        """Tokens of each sequence, all merged together.  A character that is
-        no piece counts its bytes."""
-        if not words:
-            return np.empty(0, np.int64)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        seq = np.repeat(np.arange(len(words)), lengths)
-        flat = "".join(words)
-        get = self.chars.get
-        sym = np.fromiter((get(c, -1) for c in flat), np.int64, len(flat))
-        cost = np.ones(len(flat), np.int64)
-        for i in np.flatnonzero(sym < 0).tolist():
-            cost[i] = len(flat[i].encode("utf-8", "surrogatepass"))
+        """Tokens of each word, all merged together.  Words are cut into
+        sequences wherever two neighbours are in no piece together.  A
+        character that is no piece counts its bytes."""
         tokens = np.zeros(len(words), np.int64)
-        while len(sym):
-            rank, made = np.full(len(sym), NONE), np.zeros(len(sym), np.int64)
-            if len(sym) > 1:
-                rank[:-1], made[:-1] = self.rank_of(sym[:-1], sym[1:])
-                rank[:-1][seq[:-1] != seq[1:]] = NONE
+        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        if not len(code):
+            return tokens
+        owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+        sym = self.chars[code]
+        cost = np.where(sym < 0, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000), 1)
+        key = code[:-1] << 32 | code[1:]
+        joined = self.joined[np.searchsorted(self.joined, key)] == key
+        seq = np.cumsum(np.r_[True, (owner[1:] != owner[:-1]) | ~joined])
+        rank, made = np.full(len(sym), NONE), np.zeros(len(sym), np.int64)
+        rank[:-1], made[:-1] = self.rank_of(sym[:-1], sym[1:])
+        rank[:-1][seq[:-1] != seq[1:]] = NONE
+        held = (sym, seq, owner, cost, rank, made)
+        while True:
+            seq, rank = held[1], held[4]
             first = np.flatnonzero(np.r_[True, seq[1:] != seq[:-1]])
             size = np.diff(np.r_[first, len(seq)])
             least = np.repeat(np.minimum.reduceat(rank, first), size)
             done = least == NONE
-            if done.any():  # finished sequences leave the array
-                tokens += np.bincount(seq[done], cost[done], len(words)).astype(np.int64)
-                keep = ~done
-                sym, seq, cost, rank, made, least = (x[keep] for x in (sym, seq, cost, rank, made, least))
-                if not len(sym):
-                    break
-            go = self._now(sym, seq, rank, made, least)
-            sym = np.where(go, made, sym)
-            keep = ~np.r_[False, go[:-1]]
-            sym, seq, cost = sym[keep], seq[keep], cost[keep]
-        return tokens
-
-    def _now(self, sym: np.ndarray, seq: np.ndarray, rank: np.ndarray, made: np.ndarray,
-             least: np.ndarray) -> np.ndarray:
-        """The pairs that merge in this round: of each sequence the
-        occurrences of its lowest rank from the left, up to the first whose
-        product makes a pair that ranks no higher and so has to go next."""
+            if done.any():  # finished sequences leave the arrays
+                tokens += np.bincount(held[2][done], held[3][done], len(words)).astype(np.int64)
+                held = tuple(x[~done] for x in held)
+                least = least[~done]
+                if not len(least):
+                    return tokens
+            held = self._round(held, least)
+
+    def _round(self, held: tuple, least: np.ndarray) -> tuple:
+        """The arrays after a round: in each sequence the occurrences of its
+        lowest rank have merged from the left, up to the first whose product
+        makes a pair that ranks no higher and so has to go next."""
+        seq, rank = held[1], held[4]
         go = rank == least
         # of overlapping occurrences (a run of pairs) every other one, from the left
         start = go & ~np.r_[False, go[:-1]]
         place = np.arange(len(go))
         run = np.maximum.accumulate(np.where(start, place, 0))
         go &= (place - run) % 2 == 0
-        new = np.where(go, made, sym)
-        gone = np.r_[False, go[:-1]]
-        at = np.flatnonzero(~gone)
-        s, q = new[at], seq[at]
-        nearby = np.full(len(at), NONE)
-        if len(at) > 1:
-            r, _ = self.rank_of(s[:-1], s[1:])
-            r[q[:-1] != q[1:]] = NONE
-            nearby[:-1] = r
-            nearby[1:] = np.minimum(nearby[1:], r)
-        low = np.full(len(go), NONE)
-        low[at] = nearby
+        after, left = self._merged(held, go)
         # a neighbour's own pair that was there before ranks above the least, or is in ``go``
-        stops = go & (low <= least)
-        if not stops.any():
-            return go
+        low = np.minimum(after[4], np.r_[NONE, after[4][:-1]])
+        stops = left[go[left] & (low <= least[left])]
+        if not len(stops):
+            return after
         first = np.flatnonzero(np.r_[True, seq[1:] != seq[:-1]])
         size = np.diff(np.r_[first, len(seq)])
-        limit = np.repeat(np.minimum.reduceat(np.where(stops, place, len(go)), first), size)
-        return go & (place <= limit)
+        limit = np.full(len(go), len(go))
+        limit[stops] = stops
+        limit = np.repeat(np.minimum.reduceat(limit, first), size)
+        return self._merged(held, go & (place <= limit))[0]
+
+    def _merged(self, held: tuple, go: np.ndarray) -> tuple[tuple, np.ndarray]:
+        """The arrays with the pairs at ``go`` merged, and the places that are
+        left.  Only pairs beside a merge are ranked anew."""
+        left = np.flatnonzero(~np.r_[False, go[:-1]])
+        sym, seq, owner, cost, rank, made = (x[left] for x in held)
+        new = go[left]
+        sym = np.where(new, made, sym)
+        at = np.flatnonzero(new | np.r_[new[1:], False])
+        right = np.minimum(at + 1, len(sym) - 1)
+        rank[at], made[at] = self.rank_of(sym[at], sym[right])
+        rank[at[(right == at) | (seq[right] != seq[at])]] = NONE
+        return (sym, seq, owner, cost, rank, made), left
 
     def count(self, texts: list[str]) -> list[int]:
-        """Tokens of each whole text."""
+        """Tokens of each whole text.  Of the words met, short ones are
+        remembered, those met again before others, at most ``MEMORY``."""
         words = [_words(t) for t in texts]
-        known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
-        if len(known) + len(new) > MEMORY:
-            known.clear()
-            new = list({w for ws in words for w in ws})
+        seen = set(chain.from_iterable(words))
+        again = seen & self.known.keys()
         found: dict[str, int] = {}
-        parts: list[str] = []
-        owner: list[int] = []
+        part: list[str] = []
         held = 0
-
-        def flush(upto: int) -> None:
-            nonlocal held
-            sums = np.bincount(np.array(owner, np.int64), self.surviving(parts), upto).astype(np.int64)
-            for k in set(owner):
-                found[new[k]] = found.get(new[k], 0) + int(sums[k])
-            parts.clear()
-            owner.clear()
-            held = 0
-
-        for k, w in enumerate(new):
-            for p in self.split(w):
-                parts.append(p)
-                owner.append(k)
-                held += len(p)
-                if held >= AT_ONCE:
-                    flush(k + 1)
-        flush(len(new))
-        totals = [sum([found[w] if w in found else known[w] for w in ws]) for ws in words]
-        known.update((w, n) for w, n in found.items() if len(w) <= 64)
+        for w in seen - again:
+            part.append(w)
+            held += len(w)
+            if held >= AT_ONCE:
+                found.update(zip(part, self.surviving(part).tolist()))
+                part, held = [], 0
+        found.update(zip(part, self.surviving(part).tolist()))
+        self.known.update(found)
+        get = self.known.__getitem__
+        totals = [sum(map(get, ws)) for ws in words]
+        for w in found:
+            if len(w) > 64:
+                del self.known[w]
+        if len(self.known) > MEMORY:
+            kept = ((w, n) for w, n in found.items() if len(w) <= 64)
+            self.known = {w: get(w) for w in again}
+            self.known.update(islice(kept, MEMORY - len(again)))
         return totals
 
 
