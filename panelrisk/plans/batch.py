@@ -51,10 +51,7 @@ def _read_text_csv(spark: SparkSession, paths, types: Mapping[str, str] | None =
         if missing:
             raise ValueError(f"{paths}: missing columns {missing}")
         r = conform.safe_casts(r.select(*types), {c: t for c, t in types.items() if t != "string"})
-    if with_seq:
-        r = (r.withColumn("source_file", F.col("_metadata.file_path"))
-              .withColumn(K.SEQ, F.monotonically_increasing_id()))
-    return r
+    return csv_src.with_input_order(r) if with_seq else r
 
 
 def forecast_run(spark: SparkSession, panel_paths: str | Sequence[str], gdp_path: str,

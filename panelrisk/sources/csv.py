@@ -4,6 +4,7 @@ normaliser for files written by pandas-like tools."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,10 @@ PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "n/a", "nan", "null"]
 
 
+#: Most file names that are broadcast to rank a scan's files.
+BROADCAST_FILES = 50_000
+
+
 def _reader(spark: SparkSession, schema: StructType | str | None, header: bool, infer: bool):
     r = spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE")
     if schema is not None:
@@ -43,10 +48,37 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
         df = _reader(spark, schema, header, infer).csv(paths)
     except AnalysisException as e:  # PATH_NOT_FOUND for an empty glob
         raise FileNotFoundError(f"no input files match {paths}: {e}") from None
-    if with_seq:
-        df = (df.withColumn("source_file", F.col("_metadata.file_path"))
-                .withColumn(K.SEQ, F.monotonically_increasing_id()))
-    return df
+    return with_input_order(df) if with_seq else df
+
+
+def with_input_order(df: DataFrame) -> DataFrame:
+    """Add ``source_file`` and ``seq``: the order of the files' paths, then the
+    place in the file, whatever order the scan reads the files in.
+
+    ``seq`` holds the path's rank above 40 bits of (start of the block + row
+    in the task): a block is read by one task and has fewer rows than bytes,
+    so places rise within a file.  Only the file names, which the scan has
+    listed, are ranked on the driver."""
+    files = sorted({_same_scheme(f) for f in df.inputFiles()}, key=unquote)
+    low = (1 << 33) - 1  # rows of a task, in the lower bits of the id
+    placed = (df.withColumn("source_file", F.col("_metadata.file_path"))
+                .withColumn(K.SEQ, F.col("_metadata.file_block_start")
+                            + F.monotonically_increasing_id().bitwiseAND(F.lit(low))))
+    if len(files) < 2:
+        return placed
+    ranks = df.sparkSession.createDataFrame(list(enumerate(files)), "_rank long, _file string")
+    if len(files) <= BROADCAST_FILES:
+        ranks = F.broadcast(ranks)
+    path = F.regexp_replace("source_file", "^file:/+", "file:/")
+    unlisted = F.raise_error(F.concat(F.lit("file not listed: "), "source_file")).cast("long")
+    return (placed.join(ranks, path == F.col("_file"), "left")
+            .withColumn(K.SEQ, F.shiftleft(F.coalesce("_rank", unlisted), 40) + F.col(K.SEQ))
+            .drop("_rank", "_file"))
+
+
+def _same_scheme(path: str) -> str:
+    """Local paths are listed with three slashes, but read with one."""
+    return "file:/" + path[5:].lstrip("/") if path.startswith("file:/") else path
 
 
 def normalise_null_tokens(df: DataFrame, columns: Sequence[str] | None = None,

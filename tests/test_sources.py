@@ -27,6 +27,22 @@ def test_csv_seq_records_input_order(spark, df):
     assert [r.x for r in rows] == list(range(10)) and rows[0].source_file
 
 
+def test_csv_seq_follows_paths_not_file_sizes(spark, tmp_path):
+    """The scan packs larger files first; names need not be plain."""
+    (tmp_path / "a b%.csv").write_text("x\n0\n1\n")
+    (tmp_path / "b+é.csv").write_text("x\n" + "".join(f"{i}\n" for i in range(2, 500)))
+    back = csv_src.read_csv_files(spark, str(tmp_path), "x long", with_seq=True)
+    rows = back.orderBy("seq").collect()
+    assert [r.x for r in rows] == list(range(500)) and len({r.seq for r in rows}) == 500
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")  # files in many blocks
+    try:
+        back = csv_src.read_csv_files(spark, str(tmp_path), "x long", with_seq=True)
+        assert [r.x for r in back.orderBy("seq").collect()] == list(range(500))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_null_tokens(spark, df):
     base = shared_path(spark, "t", "tokens")
     d = df([("a", "1.5"), ("NA", "nan"), ("n/a", "NULL"), ("b", "")], "s string, v string")
