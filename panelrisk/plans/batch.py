@@ -41,16 +41,21 @@ UPLOAD_TYPES = {K.LOCATION: "string", K.METRIC: "string", K.VAL: "double"}
 
 
 def _read_text_csv(spark: SparkSession, paths, types: Mapping[str, str] | None = None,
-                   with_seq: bool = False) -> DataFrame:
+                   with_seq: bool = False, null_tokens: bool = False) -> DataFrame:
     """Header CSV read as text (no inference job), then safe casts of the
     named columns; the CSV parser skips the columns that are not needed.
+    With ``null_tokens`` the texts that pandas reads as missing become null.
     No matching file raises ``FileNotFoundError``."""
     r = csv_src.read_csv_files(spark, paths, schema=None, with_seq=False, infer=False)
     if types:
         missing = [c for c in types if c not in r.columns]
         if missing:
             raise ValueError(f"{paths}: missing columns {missing}")
-        r = conform.safe_casts(r.select(*types), {c: t for c, t in types.items() if t != "string"})
+        r = r.select(*types)
+    if null_tokens:
+        r = csv_src.normalise_null_tokens(r)
+    if types:
+        r = conform.safe_casts(r, {c: t for c, t in types.items() if t != "string"})
     return csv_src.with_input_order(r) if with_seq else r
 
 
@@ -100,7 +105,12 @@ def forecast_run(spark: SparkSession, panel_paths: str | Sequence[str], gdp_path
 def _read_input(spark: SparkSession, path: str, fmt: str, types: Mapping[str, str]) -> DataFrame:
     """A lake folder (``parquet``) or CSV files, safely cast, with ``seq``
     (kept when present, else input order)."""
-    df = spark.read.parquet(path) if fmt == "parquet" else _read_text_csv(spark, path)
+    if fmt == "parquet":
+        df = spark.read.parquet(path)
+    else:
+        df = _read_text_csv(spark, path, null_tokens=True)
+        if K.SEQ not in df.columns:
+            df = csv_src.with_input_order(df).drop("source_file")
     casts = {c: t for c, t in types.items() if t != "string" and c in df.columns}
     if K.SEQ in df.columns:
         casts[K.SEQ] = "bigint"
@@ -119,7 +129,7 @@ def map_run(spark: SparkSession, predictions_path: str, master_path: str, upload
     pred = _read_input(spark, predictions_path, predictions_format, PRED_TYPES)
     master = _read_input(spark, master_path, master_format,
                          {**PANEL_TYPES, K.GDP: "double", K.POP: "double"})
-    upload = _read_text_csv(spark, upload_path, UPLOAD_TYPES, with_seq=True).drop("source_file")
+    upload = _read_text_csv(spark, upload_path, UPLOAD_TYPES, with_seq=True, null_tokens=True).drop("source_file")
 
     pred = jobs._standardise(pred, K.TRANSLATED, dictionary)
     master = jobs._standardise(master, K.TRANSLATED, dictionary)
@@ -147,6 +157,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     m.add_argument("--predictions", required=True)
     m.add_argument("--master", required=True)
     m.add_argument("--upload", required=True)
+    m.add_argument("--predictions-format", choices=["csv", "parquet"], default="csv")
+    m.add_argument("--master-format", choices=["csv", "parquet"], default="parquet")
     m.add_argument("--out", required=True)
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"panelrisk-{a.cmd}").getOrCreate()
@@ -154,7 +166,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         res = forecast_run(spark, a.panel, a.gdp, a.pop, a.out)
         res["metrics"].show(truncate=False)
     else:
-        res = map_run(spark, a.predictions, a.master, a.upload, a.out)
+        res = map_run(spark, a.predictions, a.master, a.upload, a.out,
+                      predictions_format=a.predictions_format, master_format=a.master_format)
         res["watchlist"].show(truncate=False)
 
 

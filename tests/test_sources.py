@@ -89,3 +89,13 @@ def test_partitioned_land_writes_few_files_per_year(spark):
     plain = shared_path(spark, "test", "unbalanced")
     lake.land(df, plain, partition_by=["year"], rebalance=False)
     assert len(glob.glob(f"{plain}/year=2020/*.parquet")) == 8
+
+
+def test_map_program_inputs_read_null_tokens(spark, tmp_path):
+    """Texts that pandas reads as missing are null in every CSV input of the map program."""
+    from panelrisk.plans import batch
+    (tmp_path / "b.csv").write_text("location_name,val\nNA,1.5\nPeru,nan\n")
+    (tmp_path / "c.csv").write_text("location_name,val\nChad,NaN\n,2\n")
+    got = batch._read_input(spark, str(tmp_path), "csv", {"location_name": "string", "val": "double"})
+    assert [(r.location_name, r.val) for r in got.orderBy("seq").collect()] == [
+        (None, 1.5), ("Peru", None), ("Chad", None), (None, 2.0)]
