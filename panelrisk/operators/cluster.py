@@ -117,20 +117,25 @@ def silhouette(df: DataFrame, features: Sequence[str] | str, cluster: str,
                           .otherwise(F.lit(0.0)).alias("silhouette"))
 
 
-def rank_labels(df: DataFrame, cluster: str = K.CLUSTER, value: str = K.VAL,
-                labels: Sequence[str] = K.PROFILE_LABELS, default: str = K.UNKNOWN_PROFILE,
-                out: str = K.PROFILE) -> DataFrame:
-    """Order clusters by mean ``value`` (ascending, ties by id); the i-th
-    gets ``labels[i]``; rows without a ranked cluster get ``default``.
-    More clusters than labels is an error, as in the original.
-
-    The k cluster means are one grouped aggregate (k rows to the driver);
-    the labels then enter the plan as a constant map: a projection, no
-    join and no Python UDF."""
+def rank_mapping(df: DataFrame, cluster: str = K.CLUSTER, value: str = K.VAL,
+                 labels: Sequence[str] = K.PROFILE_LABELS) -> dict:
+    """Cluster id -> label: clusters ordered by mean ``value`` (ascending,
+    ties by id), the i-th gets ``labels[i]``.  More clusters than labels is
+    an error, as in the original.  The k means are one grouped aggregate."""
     means = (df.filter(F.col(cluster).isNotNull()).groupBy(cluster)
                .agg(F.avg(value).alias("m")).limit(len(labels) + 1).collect())
     ranked = sorted(means, key=lambda r: (r["m"] is None, r["m"], r[cluster]))
     if len(ranked) > len(labels):
         raise ValueError(f"more clusters than the {len(labels)} labels")
-    mapping = {r[cluster]: labels[i] for i, r in enumerate(ranked)}
+    return {r[cluster]: labels[i] for i, r in enumerate(ranked)}
+
+
+def rank_labels(df: DataFrame, cluster: str = K.CLUSTER, value: str = K.VAL,
+                labels: Sequence[str] = K.PROFILE_LABELS, default: str = K.UNKNOWN_PROFILE,
+                out: str = K.PROFILE, mapping: dict | None = None) -> DataFrame:
+    """Each row's profile label by ``rank_mapping`` (or a ``mapping`` that the
+    caller has); rows without a ranked cluster get ``default``.  The labels
+    enter the plan as a constant map: a projection, no join and no Python UDF."""
+    if mapping is None:
+        mapping = rank_mapping(df, cluster, value, labels)
     return df.withColumn(out, label_or_default(cluster, mapping, default))

@@ -75,10 +75,12 @@ def regression_metrics(pred: DataFrame, label: str = K.VAL,
 def quantile_zones(pred: DataFrame, column: str = K.PREDICTION,
                    probs: Sequence[float] = tuple(K.ZONE_QUANTILES),
                    relative_error: float = K.ZONE_RELATIVE_ERROR,
-                   labels: Sequence[str] = K.ZONE_LABELS, out: str = K.ZONE) -> DataFrame:
+                   labels: Sequence[str] = K.ZONE_LABELS, out: str = K.ZONE,
+                   cuts_on: DataFrame | None = None) -> DataFrame:
     """Cut ``column`` at its own quantiles into upper-inclusive zones (the
-    two cuts are one small aggregate job, then literals)."""
-    lo, hi = quantile_values(pred, column, list(probs), relative_error)
+    two cuts are one small aggregate job, then literals).  ``cuts_on``: the
+    same rows in a fixed layout, where the sketch must not vary with it."""
+    lo, hi = quantile_values(pred if cuts_on is None else cuts_on, column, list(probs), relative_error)
     return pred.withColumn(out, upper_inclusive_zone(column, lo, hi, labels))
 
 

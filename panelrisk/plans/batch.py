@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators import aggregates, conform, setops
+from ..functions import bands
+from ..operators import aggregates, conform, forecast, setops
+from ..operators import sort as sorting
 from ..operators.features import median_impute
 from ..sources import csv as csv_src
 from ..sources import lake
@@ -61,8 +63,10 @@ def _read_text_csv(spark: SparkSession, paths, types: Mapping[str, str] | None =
 
 def forecast_run(spark: SparkSession, panel_paths: str | Sequence[str], gdp_path: str,
                  pop_path: str, out_dir: str, dictionary: Mapping[str, str] = K.JOIN_STAGE_NAMES,
-                 metric: str = K.METRIC_RATE, partitions: int | None = None, **forest_kw) -> dict:
-    """Ingest -> lake -> C1 -> C2 -> C3 -> exports.  Returns the main
+                 metric: str = K.METRIC_RATE, partitions: int | None = None,
+                 target: str = K.TARGET_ENTITY, **forest_kw) -> dict:
+    """Ingest -> lake -> C1 -> C2 -> C3 -> exports and reports (one folder
+    each; ``target`` is the entity reported on its own).  Returns the main
     frames and the paths written."""
     out = out_dir.rstrip("/")
     panel = _read_text_csv(spark, panel_paths, PANEL_TYPES, with_seq=True)
@@ -85,8 +89,6 @@ def forecast_run(spark: SparkSession, panel_paths: str | Sequence[str], gdp_path
 
     _, labelled, sil, split, model, zoned, metrics = jobs.profile_and_forecast(
         master, partitions=partitions, **forest_kw)
-    zoned = zoned.select(*[c for c in zoned.columns if c not in (
-        "features", f"{K.LOCATION}_idx", f"{K.MEASURE}_idx")])
     lake.export_csv(zoned, f"{out}/predictions", [*K.EXPORT_COLUMNS, K.SEQ])
 
     summary = aggregates.split_summary(master, split)
@@ -97,9 +99,46 @@ def forecast_run(spark: SparkSession, panel_paths: str | Sequence[str], gdp_path
                             F.lit(s["silhouette"]).alias("silhouette_score"))
     lake.write_metrics(report, f"{out}/metrics")
     lake.land(counts, f"{out}/ingest_counts", "csv")
+    reports = _forecast_reports(labelled, zoned, s["silhouette"], m["r_squared"], target)
+    reports["null_profile"] = setops.union_by_name(
+        before.withColumn("stage", F.lit("before")),
+        aggregates.null_profile(master, [K.VAL, K.GDP, K.POP]).withColumn("stage", F.lit("after")))
+    for name, frame in reports.items():
+        lake.land(frame, f"{out}/reports/{name}", "csv")
     return {"master": master, "labelled": labelled, "predictions": zoned, "metrics": report,
-            "null_profile_before": before, "counts": counts, "model": model,
-            "paths": {k: f"{out}/{k}" for k in ("curated_master", "predictions", "metrics")}}
+            "null_profile_before": before, "counts": counts, "model": model, "reports": reports,
+            "paths": {k: f"{out}/{k}" for k in ("curated_master", "predictions", "metrics")}
+            | {k: f"{out}/reports/{k}" for k in reports}}
+
+
+#: Rows of the two bounded reports: the highest predictions and the drawn sample.
+TOP_K = 10
+SAMPLE_ROWS = 300
+
+
+def _forecast_reports(labelled: DataFrame, zoned: DataFrame, silhouette: float | None,
+                      r_squared: float | None, target: str) -> dict[str, DataFrame]:
+    """The forecast program's reports, by name; each is small."""
+    means = {"avg_val": K.VAL, "avg_gdp": K.GDP, "avg_pop_density": K.POP}
+    scores = zoned.sparkSession.range(1).select(
+        F.lit(silhouette).cast("double").alias("silhouette"), F.lit(r_squared).cast("double").alias("r_squared"))
+    target_rows = zoned.filter(F.col(K.TRANSLATED) == F.lit(target))
+    return {
+        "cluster_profiles": aggregates.group_means(labelled, [K.CLUSTER, K.PROFILE], means, ["avg_val"]),
+        "cluster_rows": aggregates.distribution(labelled, [K.CLUSTER, K.PROFILE]),
+        "zone_distribution": aggregates.distribution(zoned, [K.ZONE]),
+        "top_predictions": sorting.top_k(
+            zoned.select(K.TRANSLATED, K.PROFILE, K.YEAR, K.VAL, K.PREDICTION, K.ZONE, K.SEQ),
+            [F.col(K.PREDICTION).desc(), F.col(K.SEQ)], TOP_K).drop(K.SEQ),
+        "entity_report": forecast.entity_report(zoned, labelled, target),
+        "entity_zone": sorting.first_by_order(target_rows, K.ZONE, [K.YEAR, K.SEQ], [K.TRANSLATED]),
+        "actual_vs_predicted": sorting.repeatable_sample(
+            zoned.select(K.SEQ, K.VAL, K.PREDICTION), SAMPLE_ROWS, F.xxhash64(K.SEQ), F.col(K.VAL) > 0)
+        .select(K.VAL, K.PREDICTION),
+        "grades": scores.withColumns({
+            "silhouette_grade": bands.grade("silhouette", K.SILHOUETTE_GRADES, K.SILHOUETTE_FLOOR_GRADE),
+            "r2_grade": bands.grade("r_squared", K.R2_GRADES, K.R2_FLOOR_GRADE)}),
+    }
 
 
 def _read_input(spark: SparkSession, path: str, fmt: str, types: Mapping[str, str]) -> DataFrame:
@@ -107,15 +146,15 @@ def _read_input(spark: SparkSession, path: str, fmt: str, types: Mapping[str, st
     (kept when present, else input order)."""
     if fmt == "parquet":
         df = spark.read.parquet(path)
+        if K.SEQ not in df.columns:
+            df = csv_src.with_input_order(df, F.col("_metadata.row_index")).drop("source_file")
     else:
         df = _read_text_csv(spark, path, null_tokens=True)
         if K.SEQ not in df.columns:
             df = csv_src.with_input_order(df).drop("source_file")
     casts = {c: t for c, t in types.items() if t != "string" and c in df.columns}
-    if K.SEQ in df.columns:
-        casts[K.SEQ] = "bigint"
-    df = conform.safe_casts(df, casts)
-    return df if K.SEQ in df.columns else df.withColumn(K.SEQ, F.monotonically_increasing_id())
+    casts[K.SEQ] = "bigint"
+    return conform.safe_casts(df, casts)
 
 
 def map_run(spark: SparkSession, predictions_path: str, master_path: str, upload_path: str,
@@ -124,7 +163,7 @@ def map_run(spark: SparkSession, predictions_path: str, master_path: str, upload
             watch: Sequence[str] = K.WATCH_LIST, predictions_format: str = "csv",
             master_format: str = "parquet") -> dict:
     """C4 -> C5 -> C6 -> C7 on files; writes the final table, the map-ready
-    projection and the watch-list audit."""
+    projection, the watch-list audit and the number of entities."""
     out = out_dir.rstrip("/")
     pred = _read_input(spark, predictions_path, predictions_format, PRED_TYPES)
     master = _read_input(spark, master_path, master_format,
@@ -142,7 +181,9 @@ def map_run(spark: SparkSession, predictions_path: str, master_path: str, upload
     lake.land(ready, f"{out}/map_ready", "csv")
     audit = jobs.watchlist(final, watch)
     lake.land(audit, f"{out}/watchlist", "csv")
-    return {"final": final, "map_ready": ready, "watchlist": audit}
+    entities = aggregates.distinct_counts(final, [K.TRANSLATED]).withColumnRenamed(K.TRANSLATED, "entities")
+    lake.land(entities, f"{out}/entity_count", "csv")
+    return {"final": final, "map_ready": ready, "watchlist": audit, "entities": entities}
 
 
 def main(argv: Sequence[str] | None = None) -> None:

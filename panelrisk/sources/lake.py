@@ -1,6 +1,7 @@
 """Lake zones (raw, curated) and result sinks.  Paths live in the shared
-folder of the cluster (see ``session.shared_path``); writes are
-overwrite-atomic per job, so a rerun after executor loss starts clean."""
+folder of the cluster (see ``session.shared_path``).  A write replaces what
+the path held (the old files go first); lost tasks are tried again by Spark,
+and a job that fails is run again as a whole."""
 
 from __future__ import annotations
 

@@ -2,9 +2,9 @@
 
 The original classifies one uploaded file in a batch script.  Here the
 upload folder is a Structured Streaming file source: each micro-batch takes
-one new file (``maxFilesPerTrigger=1``, so "first matching row" keeps its
-per-file meaning), runs the same C4 classification on it, and writes the
-result under ``batch_id=<n>`` with overwrite.  A retried batch rewrites its
+the new files (the file is part of the lookup's key, so "first matching row"
+keeps its per-file meaning), runs the same C4 classification on them, and
+writes the result under ``batch_id=<n>`` with overwrite.  A retried batch rewrites its
 own folder, so the sink is exactly-once together with the checkpoint, which
 lives in the shared checkpoint folder.
 """
@@ -20,24 +20,27 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import constants as K
 from ..plans import jobs
 from ..session import shared_path
+from ..sources.csv import row_in_block
 
 UPLOAD_SCHEMA = "location_name string, metric_name string, val double"
 
 
 def start_upload_stream(spark: SparkSession, source_dir: str, sink_dir: str,
                         checkpoint: str | None = None, schema: str = UPLOAD_SCHEMA,
-                        available_now: bool = True, dictionary: Mapping[str, str] | DataFrame
+                        available_now: bool = True, files_per_batch: int | None = None, dictionary: Mapping[str, str] | DataFrame
                         = K.MAP_STAGE_NAMES, **classify_kw) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops
-    (a scheduled job), otherwise it keeps polling for new files."""
-    stream = (spark.readStream.schema(schema).option("header", "true")
-              .option("maxFilesPerTrigger", 1).csv(source_dir)
-              .withColumn("source_file", F.col("_metadata.file_path")))
+    (a scheduled job), otherwise it keeps polling for new files.
+    ``files_per_batch`` bounds a micro-batch; it does not change the rows."""
+    reader = spark.readStream.schema(schema).option("header", "true")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = (reader.csv(source_dir).withColumn("source_file", F.col("_metadata.file_path"))
+              .withColumn("_block", F.col("_metadata.file_block_start")))
 
     def classify_batch(batch: DataFrame, batch_id: int) -> None:
-        # Input order inside the file: ids grow with split and row position.
-        rows = batch.withColumn(K.SEQ, F.monotonically_increasing_id())
-        out = jobs.classify_upload(rows, dictionary=dictionary, **classify_kw)
+        rows = batch.withColumn(K.SEQ, row_in_block(F.col("_block"))).drop("_block")
+        out = jobs.classify_upload(rows, dictionary=dictionary, file_column="source_file", **classify_kw)
         out.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 
     writer = (stream.writeStream.foreachBatch(classify_batch)

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -10,7 +11,10 @@ sys.path.insert(0, str(ROOT))
 @pytest.fixture(scope="session")
 def spark():
     from panelrisk.session import local_session
-    s = local_session("*", 8, app="panelrisk-tests")
+    log = tempfile.mkdtemp(prefix="panelrisk-events-")
+    s = local_session("*", 8, app="panelrisk-tests", spark__eventLog__enabled="true",
+                      spark__eventLog__dir=f"file://{log}", spark__eventLog__rolling__enabled="false",
+                      spark__eventLog__compress="false")
     yield s
     s.stop()
 

@@ -31,6 +31,30 @@ def test_forest_repeatable(spark):
     assert outs[0] == outs[1]
 
 
+def test_fits_do_not_hang_on_the_layout(spark):
+    """Cluster labels are equal whatever number of partitions a fit is laid out
+    in; the forest's metrics, whose bootstrap is drawn by partition, stay within
+    a tenth of the labels' deviation."""
+    from panelrisk.plans import jobs
+    m = C.master(spark, SF)
+    sd = m.agg(F.stddev(K.VAL)).first()[0]
+    labels, rmse = [], []
+    for n in (1, 8, 16, 32):
+        _, labelled, _, _, _, _, metrics = jobs.profile_and_forecast(m, partitions=n, with_silhouette=False)
+        labels.append(sorted((r[0], r[1]) for r in labelled.select(K.SEQ, K.PROFILE).collect()))
+        rmse.append(metrics.first()["rmse"])
+    assert all(x == labels[0] for x in labels)
+    assert max(rmse) - min(rmse) < 0.1 * sd, (rmse, sd)
+
+
+def test_results_of_a_fit_do_not_shuffle_the_master_again(spark):
+    """The frames that a fit returns start at landed files: no exchange."""
+    from panelrisk.plans import jobs
+    _, labelled, _, _, _, zoned, _ = jobs.profile_and_forecast(C.master(spark, SF), with_silhouette=False, trees=3)
+    for frame in (labelled, zoned):
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_clusters_fitted_on_training_years_label_all_rows(spark):
     from panelrisk.plans import jobs
     m = C.master(spark, SF)

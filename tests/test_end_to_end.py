@@ -64,6 +64,20 @@ def test_forecast_then_map(spark):
     counts = {r.source: r.rows for r in res["counts"].collect()}
     assert counts["panel"] == 2 * len(COUNTRIES) * len(MEASURES) * 9
 
+    reports = {k: spark.read.option("header", True).csv(res["paths"][k]).collect() for k in res["reports"]}
+    rows = master.count()
+    assert [r.stage for r in sorted(reports["null_profile"], key=lambda r: r.stage)] == ["after", "before"]
+    assert {r.stage: r.gdp_per_capita == "0" for r in reports["null_profile"]} == {"before": False, "after": True}
+    assert sum(int(r["count"]) for r in reports["cluster_rows"]) == rows
+    assert len(reports["cluster_profiles"]) == K.CLUSTER_K
+    assert sum(int(r["count"]) for r in reports["zone_distribution"]) == m.testing_rows
+    top = [float(r.prediction) for r in reports["top_predictions"]]
+    assert top == sorted(top, reverse=True) and len(top) == min(10, m.testing_rows)
+    assert {r.translated_location for r in reports["entity_report"]} == {K.TARGET_ENTITY}
+    assert len(reports["entity_zone"]) == 1 and reports["entity_zone"][0].cluster_risiko in K.ZONE_LABELS
+    assert len(reports["actual_vs_predicted"]) == min(300, m.testing_rows)
+    assert len(reports["grades"]) == 1
+
     out = batch.map_run(spark, f"{base}/lake/predictions", f"{base}/lake/curated_master",
                         f"{base}/in/upload.csv", f"{base}/map", dictionary=K.MAP_STAGE_NAMES)
     final = {r.translated_location: r for r in out["final"].collect()}
@@ -72,5 +86,15 @@ def test_forecast_then_map(spark):
     assert final["Finland"].cluster_risiko == "Tinggi" and final["Finland"].jumlah_kasus_absolut == 12.0
     assert final["Indonesia"].prediction != 1.0                     # prediction beats the upload
     assert {r.cluster_risiko for r in final.values()} <= set(K.ZONE_LABELS)
+    assert out["entities"].first()["entities"] == len(final)
     audit = {r.name: r.status for r in out["watchlist"].collect()}
     assert audit["Finland"] == "mapped" and audit["Bolivia"] == "failed" and audit["Peru"] == "mapped"
+
+
+def test_parquet_without_seq_is_read_in_path_order(spark):
+    """The smaller file comes first by name; scans pack the larger one first."""
+    base = shared_path(spark, "t", "parquet_order")
+    for name, lo, n in (("a", 0, 5), ("b", 5, 3000)):
+        spark.range(lo, lo + n, 1, 1).select(F.col("id").cast("double").alias(K.VAL)).write.parquet(f"{base}/{name}")
+    got = batch._read_input(spark, f"{base}/*", "parquet", {K.VAL: "double"}).orderBy(K.SEQ).collect()
+    assert [r[K.VAL] for r in got] == [float(i) for i in range(3005)]

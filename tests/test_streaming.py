@@ -23,3 +23,16 @@ def test_upload_stream_per_file(spark, df):
     rows = sorted((r.batch_id, r.val, r.jumlah_kasus_absolut, r.cluster_risiko)
                   for r in read_classified(spark, sink).collect())
     assert rows == [(0, 700.0, 11.0, "Tinggi"), (1, 100.0, 99.0, "Rendah")]
+
+
+def test_several_files_in_one_batch_keep_their_own_matches(spark, df):
+    src = shared_path(spark, "t", "up_many")
+    cols = "location_name string, metric_name string, val double"
+    files = [[("Finlandia", "Rate", 700.0), ("Finlandia", "Number", 11.0), ("Finlandia", "Number", 12.0)],
+             [("Finlandia", "Number", 99.0), ("Finlandia", "Rate", 100.0)], [("Finlandia", "Rate", 5.0)]]
+    for i, rows in enumerate(files):
+        lake.land(df(rows, cols).coalesce(1), f"{src}/{i}", "csv")
+    sink = shared_path(spark, "t", "up_many_sink")
+    start_upload_stream(spark, f"{src}/*", sink).awaitTermination()
+    rows = sorted((r.batch_id, r.val, r.jumlah_kasus_absolut) for r in read_classified(spark, sink).collect())
+    assert rows == [(0, 5.0, None), (0, 100.0, 99.0), (0, 700.0, 11.0)]
