@@ -38,7 +38,8 @@ def op3_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adaptive_rules.adaptive_quality(table(spark, sf_dir, "documents"))
+    # without the names of the broken rules, which the verdict sums up
+    return adaptive_rules.adaptive_quality(table(spark, sf_dir, "documents")).drop("broken")
 
 
 def op5_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +55,8 @@ def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_arc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arc_convert.convert_pages(table(spark, sf_dir, "pages"))
+    # without the identifiers, dates and addresses made up for the records
+    return arc_convert.convert_pages(table(spark, sf_dir, "pages")).drop("record_id", "date", "url")
 
 
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,5 +85,88 @@ g AS (
   FROM t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
 FROM g
+""",
+    "op4_adaptive_rules": r"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+base AS (
+  SELECT rid, doc_id, lang, source,
+         list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         list_filter(string_split(text, chr(10)),
+                     lambda x: length(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g')) > 0) AS lines
+  FROM t),
+placed AS (SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM base),
+wins AS (
+  SELECT rid, pos, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o || ' '
+         || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o AS win
+  FROM placed WINDOW o AS (PARTITION BY rid ORDER BY pos)),
+twice AS (SELECT rid, pos, win IS NOT NULL AND count(*) OVER (PARTITION BY rid, win) > 1 AS again FROM wins),
+covered AS (
+  SELECT rid, bool_or(again) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS c
+  FROM twice),
+repeats AS (SELECT rid, count(*) FILTER (WHERE c) AS n FROM covered GROUP BY rid),
+counts AS (
+  SELECT b.rid, doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+         CAST(n_symbols AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+  FROM base b LEFT JOIN repeats r ON b.rid = r.rid),
+rules AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts),
+vals AS (
+  SELECT rid, lang, source, base_failed, 'symbol_share' AS measure, n_symbols * 1000 // greatest(word_chars, 1) AS v
+  FROM rules
+  UNION ALL SELECT rid, lang, source, base_failed, 'word_length', word_chars * 100 // greatest(n_words, 1) FROM rules
+  UNION ALL SELECT rid, lang, source, base_failed, 'dup_line_share', n_dup_lines * 1000 // greatest(n_lines, 1)
+  FROM rules
+  UNION ALL SELECT rid, lang, source, base_failed, 'repeat_share', n_repeat_words * 1000 // greatest(n_words, 1)
+  FROM rules),
+-- a value's bin ends at the value with all bits below its first five set
+tops AS (
+  SELECT lang, source, measure,
+         (((v >> greatest(length(bin(v)) - 5, 0)) + 1) << greatest(length(bin(v)) - 5, 0)) - 1 AS top
+  FROM vals WHERE NOT base_failed),
+levels AS (
+  SELECT 3 AS level, lang, source, measure, top FROM tops
+  UNION ALL SELECT 2, lang, NULL, measure, top FROM tops
+  UNION ALL SELECT 1, NULL, NULL, measure, top FROM tops),
+points AS (
+  SELECT level, lang, source, measure, count(*) AS n, quantile_disc(top, 0.25) AS q25, quantile_disc(top, 0.5) AS q50,
+         quantile_disc(top, 0.75) AS q75
+  FROM levels GROUP BY level, lang, source, measure),
+slacks AS (SELECT * FROM (VALUES ('symbol_share', 30), ('word_length', 200), ('dup_line_share', 300),
+                                 ('repeat_share', 100)) AS x(measure, slack)),
+fences AS (
+  SELECT level, lang, source, p.measure, n, q50 + greatest(slack, 6 * (q75 - q50)) AS high,
+         CASE WHEN p.measure = 'word_length' THEN q50 - greatest(slack, 6 * (q50 - q25)) ELSE -1 END AS low
+  FROM points p JOIN slacks s ON p.measure = s.measure),
+judged AS (
+  SELECT v.rid, coalesce(bool_and(coalesce(
+           v.v BETWEEN CASE WHEN o.n >= 30 THEN o.low WHEN l.n >= 30 THEN l.low ELSE a.low END
+                   AND CASE WHEN o.n >= 30 THEN o.high WHEN l.n >= 30 THEN l.high ELSE a.high END, false)), false) AS fits
+  FROM vals v
+  LEFT JOIN fences o ON o.level = 3 AND o.measure = v.measure AND o.lang IS NOT DISTINCT FROM v.lang
+                    AND o.source IS NOT DISTINCT FROM v.source
+  LEFT JOIN fences l ON l.level = 2 AND l.measure = v.measure AND l.lang IS NOT DISTINCT FROM v.lang
+  LEFT JOIN fences a ON a.level = 1 AND a.measure = v.measure
+  GROUP BY v.rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND fits AS kept
+FROM rules JOIN judged ON rules.rid = judged.rid
+""",
+    "op8_arc_convert": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (
+  SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload,
+         -- five hexadecimal digits are four of base 32
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+           CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)
+         ) & 31 AS BIGINT), 1)), '') AS payload_digest
+  FROM p),
+f AS (SELECT payload, min(page_id) AS first_id FROM d GROUP BY payload)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d JOIN f ON d.payload = f.payload
 """,
 }
