@@ -19,24 +19,21 @@ def _hits(plan: str) -> list[str]:
     return [op for op in FORBIDDEN if re.search(rf"(^|[\s+\-:(]){op}\b", plan, re.M)]
 
 
-def _executed_plans(spark, name):
-    """Physical plans of every SQL execution described by ``name``: eager
+def _executed_plans(spark):
+    """Physical plans of all SQL executions so far, by their description: eager
     writes, statistics and fits as well as the frame that a query returns.
-    Read from the event log, adaptive re-plans included."""
-    bus = spark.sparkContext._jsc.sc().listenerBus()
-    bus.waitUntilEmpty()
+    Read from the event log in one pass, adaptive re-plans included."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     folder = Path(spark.conf.get("spark.eventLog.dir").removeprefix("file://"))
     log = next(p for p in folder.iterdir() if p.name.startswith(spark.sparkContext.applicationId))
-    plans, ours = [], set()
+    plans, owner = {}, {}
     with open(log, encoding="utf-8") as lines:
         for line in lines:
-            if "org.apache.spark.sql.execution.ui.SparkListenerSQL" not in line[:120]:
+            if "org.apache.spark.sql.execution.ui.SparkListenerSQL" not in line[:120] or "physicalPlanD" not in line:
                 continue
             e = json.loads(line)
-            if e.get("description") == name:
-                ours.add(e["executionId"])
-            if "physicalPlanDescription" in e and e["executionId"] in ours:
-                plans.append(e["physicalPlanDescription"])
+            name = owner.setdefault(e["executionId"], e.get("description"))
+            plans.setdefault(name, []).append(e["physicalPlanDescription"])
     return plans
 
 
@@ -52,9 +49,9 @@ def test_no_forbidden_operators_in_any_plan(spark):
     bad = {}
     for name, q in sorted(QUERIES.items()):
         _run_described(spark, f"plan of {name}", lambda: q(spark, SF))
+    seen = _executed_plans(spark)
     for name in sorted(QUERIES):
-        plans = _executed_plans(spark, f"plan of {name}")
-        assert plans, name
+        plans = seen[f"plan of {name}"]
         if hits := sorted({h for p in plans for h in _hits(p)}):
             bad[name] = hits
     assert not bad, bad
@@ -66,7 +63,7 @@ def test_planted_cross_join_in_a_staging_step_is_seen(spark):
         return lake.roundtrip(a.crossJoin(b), shared_path(spark, "t", "planted"))
 
     _run_described(spark, "planted", planted)
-    assert any(_hits(p) for p in _executed_plans(spark, "planted"))
+    assert any(_hits(p) for p in _executed_plans(spark)["planted"])
 
 
 def test_small_covariates_leave_the_panel_where_it_is(spark):
