@@ -5,18 +5,23 @@ logistic function of its words; a document's is the noisy-or of its sentences,
 1 - prod(1 - p): one toxic sentence is enough.  Training document labels
 through the noisy-or therefore teaches the sentence scores, which then point
 to the offending sentences.
+
+The odds of every sentence are divided by the document's number of distinct
+sentences, so that what sentences without telling words add up to is the same
+in short and in long documents.
 """
 
 import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import exp, expm1, log1p
+from math import exp, expm1, log, log1p
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from panelrisk.llm.common import map_texts
 
@@ -29,15 +34,18 @@ PREFIXES = (5, 7)
 #: Words whose summed weight each Python worker remembers.
 MEMORY = 300_000
 
-#: The fit's documented bounds: labelled documents, and the length of each.
+#: The fit's documented bounds: labelled documents, and their characters in all.
 TRAIN_DOCS = 5000
-TRAIN_CHARS = 12_000
+TRAIN_CHARS = 12_000_000
+
+#: Documents that the fit joins to one, besides teaching each by itself.
+JOINED = 16
 
 
 @dataclass(frozen=True)
 class SentenceModel:
     """Weights of lower-cased words and word beginnings (marked by a hyphen
-    at the end), and the bias of a sentence."""
+    at the end), and the bias of a document's only sentence."""
 
     weights: dict[str, float]
     bias: float
@@ -68,17 +76,23 @@ def held_out(doc_id: Column) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS,
                   max_chars: int = TRAIN_CHARS) -> DataFrame:
-    """At most ``max_docs`` labelled documents of at most ``max_chars``
-    characters that are not held out, in an order drawn by a hash of the id.
+    """At most ``max_docs`` labelled documents that are not held out, of any
+    length, in an order drawn by a hash of the id, as far as ``max_chars``
+    characters in all go.
 
     Rows with a null id, text or label do not teach; an id with several
-    labels takes the largest."""
+    labels takes the largest.  A text of more than an eighth of ``max_chars``
+    does not teach either: it would take the place of all others."""
     known = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     # Lengths pick the rows; only the picked ids (a bounded table) are sent to the texts.
-    ids = docs.where(F.char_length("text") <= max_chars).select("doc_id").join(known, "doc_id")
-    ids = ids.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    return docs.select("doc_id", "text").where(F.char_length("text") <= max_chars).join(F.broadcast(ids), "doc_id")
+    fits = F.char_length("text") <= max_chars // 8
+    sizes = docs.where(fits).groupBy("doc_id").agg(F.sum(F.char_length("text")).alias("_chars"))
+    ids = sizes.join(known, "doc_id").withColumn("_drawn", F.xxhash64("doc_id"))
+    ids = ids.orderBy("_drawn", "doc_id").limit(max_docs)
+    so_far = F.sum("_chars").over(Window.orderBy("_drawn", "doc_id"))  # over at most max_docs rows
+    ids = ids.withColumn("_so_far", so_far).where(F.col("_so_far") <= max_chars).select("doc_id", "toxic")
+    return docs.select("doc_id", "text").where(fits).join(F.broadcast(ids), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_docs: int = TRAIN_DOCS, max_chars: int = TRAIN_CHARS,
@@ -88,6 +102,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_docs: int = TRAIN_DOCS, max_c
     keep a weight.  Toxic and clean documents weigh alike as classes.  The
     sample is all that reaches the driver, at any size of the corpus.
 
+    So that long documents are taught as well, the clean documents are also
+    joined by ``JOINED``, and each toxic one is joined to such a group: a label
+    of joined documents follows from theirs.
+
     With no labelled row, or labels of one kind only, the model has no words
     and its bias follows the share of toxic rows."""
     rows = training_rows(docs, labels, max_docs, max_chars).toPandas()
@@ -123,17 +141,35 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_docs: int = TRAIN_DOCS, max_c
     names = [f for f, x in zip(number, often, strict=True) if x]
     n_docs, n_col = len(y), len(names)
 
+    toxic, tame = np.flatnonzero(y), np.flatnonzero(~y)
+    groups = max(len(tame) // JOINED, 1)
+    group = np.empty(n_docs, np.int64)
+    group[np.random.default_rng(0).permutation(tame)] = np.arange(len(tame)) % groups
+    group[toxic] = np.arange(len(toxic)) % groups
+    # sentences of each document by itself, and of its group (a toxic one: with its own)
+    alone = np.bincount(own, minlength=n_docs)
+    joined = np.bincount(group[tame], alone[tame], groups)[group] + np.where(y, alone, 0)
+    log_alone, log_joined = np.log(alone)[own], np.log(joined)[own]
+
+    def pull(total: np.ndarray) -> np.ndarray:
+        """d loss / d total of toxic documents; that of clean ones is their weight."""
+        return -0.5 / len(toxic) / np.expm1(np.clip(total, 1e-9, 700))
+
     theta = np.zeros(n_col + 1)
-    theta[-1] = -4.0
+    theta[-1] = -3.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    weight = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum())
     for t in range(1, steps + 1):
-        z = theta[-1] + np.bincount(at, theta[col], n_sent)
-        clean = np.logaddexp(0, z)  # -log(1 - p) of each sentence
-        total = np.maximum(np.bincount(own, clean, n_docs), 1e-9)
-        # d loss / d z: p for clean documents, -p (1 - P) / P for toxic ones
-        factor = np.where(y, -1 / np.expm1(np.minimum(total, 700)), 1.0) * weight
-        dz = factor[own] / (1 + np.exp(-np.clip(z, -500, 500)))
+        raw = theta[-1] + np.bincount(at, theta[col], n_sent)
+        z = raw - log_alone
+        total = np.bincount(own, np.logaddexp(0, z), n_docs)  # -log(1 - p) of the sentences, summed
+        factor = np.where(y, pull(total), 0.5 / len(tame))
+        dz = 0.5 * factor[own] / (1 + np.exp(-np.clip(z, -500, 500)))
+        z = raw - log_joined
+        total = np.bincount(own, np.logaddexp(0, z), n_docs)
+        of_group = np.bincount(group[tame], total[tame], groups)
+        factor[toxic] = pull(total[toxic] + of_group[group[toxic]])
+        factor[tame] = (np.bincount(group[toxic], factor[toxic], groups) + 0.5 / groups)[group[tame]]
+        dz += 0.5 * factor[own] / (1 + np.exp(-np.clip(z, -500, 500)))
         grad = np.append(np.bincount(col, dz[at], n_col), dz.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         step = rate * (1 if t < 0.6 * steps else 0.2) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -146,22 +182,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_docs: int = TRAIN_DOCS, max_c
 def score_text(text: str | None, words: WordWeights) -> tuple[float, int, int, int, float]:
     """Document score, number of sentences, and the start, end and score of
     the worst sentence (-1, -1, 0 without one).  Offsets count code points."""
-    bias = words.bias
-    log_clean, best, span, n = 0.0, -600.0, (-1, -1), 0
-    memo: dict[str, float] = {}
+    best, span, n = -600.0, (-1, -1), 0
+    memo: dict[str, float] = {}  # a repeated sentence is one piece of evidence
     for found in SENTENCE.finditer(text or ""):
         s = found[0]
         z = memo.get(s)
         if z is None:
-            z = memo[s] = bias + sum([words[w] for w in set(WORD.findall(s.lower()))])
-            # a repeated sentence is one piece of evidence
-            log_clean += log1p(exp(z)) if z < 30 else z
+            z = memo[s] = words.bias + sum([words[w] for w in set(WORD.findall(s.lower()))])
         n += 1
         if z > best:
             best, span = z, found.span()
     if not n:
-        return -expm1(-log1p(exp(bias))), 0, -1, -1, 0.0
-    return -expm1(-log_clean), n, span[0], span[1], 1 / (1 + exp(-min(best, 500)))
+        return -expm1(-log1p(exp(words.bias))), 0, -1, -1, 0.0
+    share = log(len(memo))
+    log_clean = sum([log1p(exp(z - share)) if z - share < 30 else z - share for z in memo.values()])
+    return -expm1(-log_clean), n, span[0], span[1], 1 / (1 + exp(-max(min(best - share, 500), -500)))
 
 
 def score(docs: DataFrame, model: SentenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -207,6 +207,36 @@ def test_toxicity_points_to_the_sentence(spark):
     assert {r.doc_id for r in toxicity.clean(docs, model).collect()} == {3, 4}
 
 
+def test_toxicity_of_long_documents(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    words = toxicity.WordWeights(model)
+    held = docs.join(labels, "doc_id").where(toxicity.held_out(F.col("doc_id"))).orderBy("doc_id").collect()
+    clean = [r.text or "" for r in held if r.toxic == 0 and toxicity.score_text(r.text, words)[0] < 0.5]
+    for k in (20, 50, 200):
+        scores = [toxicity.score_text("\n".join(clean[i:i + k]), words)[0] for i in range(0, len(clean) - k + 1, k)]
+        assert scores and sum(x >= 0.5 for x in scores) <= len(scores) // 20, (k, scores)
+    # a sentence without a known word is no evidence, however often one comes
+    plain = ". ".join(f"{i} {i + 1}" for i in range(20_000))
+    assert toxicity.score_text(plain, toxicity.WordWeights(toxicity.SentenceModel({"bad": 20.0}, -3.0)))[0] < 0.1
+    toxic = max((w for w, x in model.weights.items() if not w.endswith("-")), key=model.weights.get)
+    strong = f"{toxic} " + " ".join(w for w in sorted(model.weights, key=model.weights.get)[-60:] if not w.endswith("-"))
+    text = "\n".join([*clean[:25], strong, *clean[25:50]])
+    got = toxicity.score_text(text, words)
+    assert got[0] >= 0.5 and text[got[2]:got[3]] == strong
+
+
+def test_toxicity_learns_from_all_lengths(spark):
+    rows = [(i, "word " * (3000 if i % 2 else 3)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 3 == 0) for i in range(40)], "doc_id long, toxic boolean")
+    labels = labels.withColumn("toxic", F.col("toxic").cast("int"))
+    teach = {r.doc_id for r in toxicity.training_rows(docs, labels).collect()}
+    assert teach == {r.doc_id for r in docs.where(~toxicity.held_out(F.col("doc_id"))).collect()}
+    some = toxicity.training_rows(docs, labels, max_chars=150_000).collect()
+    assert {len(r.text) for r in some} == {15, 15_000} and sum(len(r.text) for r in some) <= 150_000
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int")
     model = toxicity.fit(odd_docs, labels)
