@@ -183,16 +183,24 @@ def as_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payl
 
 
 def arc_digests(arcs: DataFrame) -> DataFrame:
-    """``page_id``, the payload's ``bytes`` and ``digest`` of ARC segments, by
-    declared lengths."""
+    """``page_id``, the hash of the ``segment``, and the payload's ``bytes``
+    and ``digest`` of the records of ARC segments, by declared lengths."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(i, none, len(r.payload), sha1_base32(r.payload))
-                    for i, none, a in zip(b["page_id"], b["no_id"], b["arc"], strict=True) for r in parse_arc(a)]
-            yield pd.DataFrame(rows, columns=["page_id", "no_id", "bytes", "digest"])
+            rows = [(i, none, of, len(r.payload), sha1_base32(r.payload))
+                    for i, none, of, a in zip(b["page_id"], b["no_id"], b["segment"], b["arc"], strict=True)
+                    for r in parse_arc(a)]
+            yield pd.DataFrame(rows, columns=["page_id", "no_id", "segment", "bytes", "digest"])
 
-    found = _whole_ids(arcs).mapInPandas(run, "page_id long, no_id boolean, bytes long, digest string")
-    return found.select(F.when(~F.col("no_id"), F.col("page_id")).alias("page_id"), "bytes", "digest")
+    found = _whole_ids(_with_segment(arcs)).mapInPandas(
+        run, "page_id long, no_id boolean, segment long, bytes long, digest string")
+    return found.select(F.when(~F.col("no_id"), F.col("page_id")).alias("page_id"), "segment", "bytes", "digest")
+
+
+def _with_segment(arcs: DataFrame) -> DataFrame:
+    """Segments and their hashes, which tell rows that repeat an id apart; where
+    hashes clash, digests still do."""
+    return arcs.withColumn("segment", F.xxhash64("arc"))
 
 
 def _whole_ids(arcs: DataFrame) -> DataFrame:
@@ -222,10 +230,11 @@ def convert(arcs: DataFrame, name: str = "warc", least_bytes: int = 0, archive_b
     salted = digests.withColumn("_salt", salt(F.col("page_id")))
     slices = salted.groupBy("digest", "bytes", "_salt").agg(F.lit(1).alias("_x")).drop("_x")
     known = salted.join(slices.join(first, ["digest", "bytes"]), ["digest", "bytes", "_salt"])
-    # only repeated payloads have a row here: the least id of theirs
-    known = known.groupBy("page_id").agg(F.min("first_id").alias("first_id"))
-    todo = null_safe_join(arcs, known, ["page_id"])
-    todo = _whole_ids(todo.withColumn("first_id", F.coalesce("first_id", "page_id", F.lit(0))))
+    # only repeated payloads are listed here, once for each segment that has them, with the least id of theirs
+    known = known.where("page_id IS NOT NULL").groupBy("page_id", "segment", "digest", "bytes").agg(
+        F.min("first_id").alias("first_id"))
+    known = known.groupBy("page_id", "segment").agg(F.collect_list(F.struct("digest", "bytes", "first_id")).alias("firsts"))
+    todo = _whole_ids(null_safe_join(_with_segment(arcs), known, ["page_id", "segment"]).drop("segment"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else
@@ -233,16 +242,18 @@ def convert(arcs: DataFrame, name: str = "warc", least_bytes: int = 0, archive_b
         store.create_dir(base, recursive=True)
         out, path, records, size, done = None, "", 0, 0, []
         for b in batches:
-            for key, none, of, a in zip(b["page_id"].tolist(), b["no_id"], b["first_id"].tolist(), b["arc"],
-                                        strict=True):
+            for key, none, firsts, a in zip(b["page_id"].tolist(), b["no_id"], b["firsts"], b["arc"], strict=True):
                 key = None if none else key
+                first_of = {(x["digest"], x["bytes"]): x["first_id"] for x in (() if firsts is None else firsts)}
                 for r in parse_arc(a):
                     if out is None:
                         path = f"{base}/{uuid.uuid4().hex}.warc.gz"
                         out, records, size = store.open_output_stream(path, compression=None), 0, 0
+                    digest = sha1_base32(r.payload)
+                    of = first_of.get((digest, len(r.payload)), key)
                     revisit = not none and of != key
                     pack = zlib.compressobj(1, zlib.DEFLATED, 31)
-                    raw = warc_record(r, key, sha1_base32(r.payload), of, revisit)
+                    raw = warc_record(r, key, digest, of, revisit)
                     data = pack.compress(raw) + pack.flush()
                     out.write(data)
                     records += 1
@@ -299,7 +310,8 @@ def convert_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     Of records with equal payloads of at least ``least_bytes`` bytes the one
     with the least id is the response, the others are revisits.  Null payloads
     are empty.  Records with a null id are responses and never referred to;
-    rows that repeat an id are records of their own, of the same type.  Other columns
-    are not looked at.  An empty table gives an empty result."""
+    rows that repeat an id are records of their own, each judged by its own
+    payload.  Other columns are not looked at.  An empty table gives an empty
+    result."""
     return read_archives(convert(as_arc(pages, id_col, url_col, payload_col), least_bytes=least_bytes))
 

@@ -107,6 +107,26 @@ def test_small_payloads_are_all_responses(spark):
     assert got == {1: "response", 2: "response", 3: "response", 4: "revisit"}
 
 
+def test_rows_of_one_id_are_judged_by_their_payload(spark):
+    rows = [(1, "u", "same"), (1, "u", "other"), (5, "u", "same"), (5, "u", "only here"), (5, "u", "same"),
+            (7, "u", "other"), (None, "u", "same"), (None, "u", "no id"), (8, "u", "no id")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to)
+                  for r in arc_convert.convert_pages(pages).collect())
+    assert got == Counter({(1, 4, "response", None): 1, (1, 5, "response", None): 1, (5, 4, "revisit", 1): 2,
+                           (5, 9, "response", None): 1, (7, 5, "revisit", 1): 1, (None, 4, "response", None): 1,
+                           (None, 5, "response", None): 1, (8, 5, "response", None): 1})
+
+
+def test_records_of_one_segment_are_judged_by_their_payload(spark):
+    head, record = arc_convert.version_block(1), b"http://a 1.2.3.4 20200102030405 text/html %d\n%s\n"
+    make = lambda *payloads: bytearray(head + b"".join(record % (len(p), p) for p in payloads))
+    arcs = spark.createDataFrame([(1, make(b"a")), (2, make(b"a", b"unique"))], "page_id long, arc binary")
+    got = {(r.page_id, r.payload_bytes, r.record_type) for r in
+           arc_convert.read_archives(arc_convert.convert(arcs)).collect()}
+    assert got == {(1, 1, "response"), (2, 1, "revisit"), (2, 6, "response")}
+
+
 def test_arc_versions_and_faults():
     one = arc_convert.version_block(1) + b"http://a/x y 1.2.3.4 20200102030405 text/html 5\nab\ncd\n"
     two = arc_convert.version_block(2) + b"http://b 1.2.3.4 2020 text/html 200 - - 0 f.arc 0\n\n"
