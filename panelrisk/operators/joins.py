@@ -58,6 +58,56 @@ def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, "left").drop(*rk.values())
 
 
+#: Rows of one key that a task of a salted join takes on at least.
+SALT_ROWS = 100_000
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
+                     spread_by: Sequence[str], tasks: int | None = None,
+                     least_rows: int = SALT_ROWS) -> DataFrame:
+    """``left_join_on`` for a right side that is too large to broadcast, where
+    a few keys may hold most of the left rows.  No row is lost or added.
+
+    Left rows are counted by key (partial sums, one row for each key and
+    task).  A key with more than ``least_rows`` rows and more than one
+    ``tasks``-th of all rows is hot: its left rows are dealt into salts by a hash of
+    ``spread_by`` (columns that tell its rows apart) and its right rows are
+    repeated once for each salt.  Other keys have one salt, so the right
+    side grows by hot keys only.  Fewer than ``tasks`` keys can be hot: that
+    bounds the table that is broadcast to both sides.  Null keys match nothing and
+    are dealt out like a hot key, so that they don't meet in one task."""
+    spark = left.sparkSession
+    tasks = int(tasks or spark.conf.get("spark.sql.shuffle.partitions"))
+    ks = [f"__k{i}" for i in range(len(left_keys))]
+    keyed = left.select(*[F.col(k).alias(n) for k, n in zip(left_keys, ks)])
+    known = F.lit(True)
+    for n in ks:
+        known = known & F.col(n).isNotNull()
+    limit = max(int(least_rows), -(-keyed.count() // tasks))
+    hot = (keyed.filter(known).groupBy(*ks).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
+           .select(*ks, F.ceil(F.col("__n") / F.lit(limit)).cast("int").alias("__salts")))
+    no_key = F.lit(False)
+    for k in left_keys:
+        no_key = no_key | F.col(k).isNull()
+    spread = F.xxhash64(*[F.col(c) for c in spread_by])
+    dealt = (left.join(F.broadcast(hot), [left[k] == hot[n] for k, n in zip(left_keys, ks)], "left").drop(*ks)
+             .withColumn("__salt", F.when(no_key, F.pmod(spread, F.lit(tasks)))
+                         .otherwise(F.pmod(spread, F.coalesce("__salts", F.lit(1)))).cast("int")).drop("__salts"))
+    copies = (right.join(F.broadcast(hot), [right[k] == hot[n] for k, n in zip(right_keys, ks)], "left").drop(*ks)
+              .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
+              .drop("__salts"))
+    cond = [dealt[k] == copies[r] for k, r in zip(left_keys, right_keys)]
+    return dealt.join(copies, [*cond, dealt["__salt"] == copies["__copy"]], "left").drop("__salt", "__copy")
+
+
+def broadcastable(df: DataFrame) -> bool:
+    """Whether the planner's own estimate of ``df`` lies under the session's
+    broadcast threshold: the join is then planned without a shuffle."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return threshold >= 0 and int(size.toString()) <= threshold
+
+
 def first_match_lookup(left: DataFrame, right: DataFrame, key: str | Sequence[str], value: str,
                        order_by: Sequence[str], out: str,
                        broadcast_max_rows: int | None = None) -> DataFrame:
