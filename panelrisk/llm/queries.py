@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelrisk.llm import (adaptive_rules, arc_convert, bpe_codec, chunk_dedup, hilbert_shards, mixing,
+from panelrisk.llm import (adaptive_rules, arc_convert, bpe_codec, chunk_dedup, hilbert_shards, mixing, phrases,
                            piece_counts, simhash, suffix_dedup, toxicity)
 from panelrisk.llm.common import table
 
@@ -67,9 +67,13 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_vantage_simhash, op3_chunk_dedup, op4_adaptive_rules, op5_segment_tree_bpe, op6_piece_counts,
-    op7_pfair_mix, op8_arc_convert, op9_hilbert_shards, op10_suffix_dedup)}
+    op7_pfair_mix, op8_arc_convert, op9_hilbert_shards, op10_suffix_dedup, op11_phrase_automata)}
 
 #: Queries that SQL can express; the others are tested against brute force.
 ORACLE = {
@@ -168,5 +172,39 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM d JOIN f ON d.payload = f.payload
+""",
+    "op11_phrase_automata": r"""
+WITH t AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+pieces AS (SELECT rid, lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+numbered AS (SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+w AS (SELECT pid, lang, unnest(words) AS w1, generate_subscripts(words, 1) AS pos FROM numbered),
+grams AS (
+  SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY pid ORDER BY pos)),
+f AS (
+  SELECT lang, w1 AS phrase, 1 AS size, count(*) AS a FROM grams GROUP BY lang, w1
+  UNION ALL SELECT lang, w1 || ' ' || w2, 2, count(*) FROM grams WHERE w2 IS NOT NULL GROUP BY lang, w1, w2
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3, count(*) FROM grams WHERE w3 IS NOT NULL
+  GROUP BY lang, w1, w2, w3),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, size, a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND a >= 10),
+dropped AS (
+  SELECT DISTINCT s.lang, s.phrase
+  FROM c s JOIN c g ON s.lang = g.lang AND s.size = 2 AND g.size = 3 AND 100 * g.a >= 50 * s.a
+   AND s.phrase IN (g.words[1] || ' ' || g.words[2], g.words[2] || ' ' || g.words[3])),
+cuts AS (
+  SELECT c.*, k, array_to_string(words[1:k], ' ') AS head, array_to_string(words[k + 1:size], ' ') AS tail
+  FROM c, (VALUES (1), (2)) AS x(k) WHERE k < size),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, h.a AS l, t.a AS r,
+         (1000000::HUGEINT * cuts.a * cuts.a // (h.a::HUGEINT * t.a))::BIGINT AS score
+  FROM cuts JOIN f h ON h.lang = cuts.lang AND h.phrase = head JOIN f t ON t.lang = cuts.lang AND t.phrase = tail
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM scored WHERE NOT EXISTS (SELECT 1 FROM dropped d WHERE d.lang = scored.lang AND d.phrase = scored.phrase))
+SELECT placed.lang, rank, phrase, a, l, r, n, score FROM placed JOIN n ON placed.lang = n.lang WHERE rank <= 2000
 """,
 }
