@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelrisk.llm import (adaptive_rules, arc_convert, bpe_codec, chunk_dedup, hilbert_shards, mixing, phrases,
-                           piece_counts, simhash, suffix_dedup, toxicity)
+                           piece_counts, prefix_trie, secrets_scan, simhash, suffix_dedup, toxicity)
 from panelrisk.llm.common import table
 
 #: Vocabulary files, by the name the tokenizer package knows them by.
@@ -71,9 +71,108 @@ def op11_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_z_fast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
+def op13_random_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_toxicity, op2_vantage_simhash, op3_chunk_dedup, op4_adaptive_rules, op5_segment_tree_bpe, op6_piece_counts,
-    op7_pfair_mix, op8_arc_convert, op9_hilbert_shards, op10_suffix_dedup, op11_phrase_automata)}
+    op7_pfair_mix, op8_arc_convert, op9_hilbert_shards, op10_suffix_dedup, op11_phrase_automata,
+    op12_z_fast_trie, op13_random_secrets)}
+
+def _secrets_sql() -> str:
+    """The scan in SQL, from the same fixed values."""
+    S = secrets_scan
+    cases = lambda f: " ".join(f"WHEN '{n}' THEN {f(n, a)}" for n, a in S.ALPHABETS.items())
+    size = {n: len(a) for n, a in S.ALPHABETS.items()}
+    halves = cases(lambda n, a: f"translate(run, '{a}', '{'0' * (len(a) // 2) + '1' * (len(a) - len(a) // 2)}')")
+    letters = ", ".join(f"sum(length(text) - length(replace(text, '{c}', '')))::HUGEINT AS l_{c}" for c in S.LETTERS)
+
+    def moment(n: str, a: str, power: int) -> str:
+        own = [f"l_{c}" for c in S.LETTERS if c in a.lower()]
+        total = "(" + " + ".join(own) + ")"
+        return (f"(SELECT CAST({' + '.join('*'.join([x] * power) for x in own)} AS DOUBLE) / "
+                f"nullif(CAST({'*'.join([total] * power)} AS DOUBLE), 0) FROM letters)")
+
+    return rf"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+m AS (
+  {" UNION ALL ".join(f"SELECT rid, {k} AS kind, regexp_extract_all(text, '{p}') AS ms, string_split_regex(text, '{p}') AS gaps FROM t"
+                      for k, p in ((0, S.ASSIGN), (1, S.ACCESS), (2, S.HEX), (3, S.RUN)))}),
+e AS (
+  SELECT rid, kind, unnest(ms) AS match, unnest(gaps[1:len(ms)]) AS gap, generate_subscripts(ms, 1) AS i
+  FROM m WHERE len(ms) > 0),
+placed AS (
+  SELECT rid, kind, match,
+         CAST(sum(length(gap) + length(match)) OVER (PARTITION BY rid, kind ORDER BY i) AS BIGINT) AS stop FROM e),
+spans AS (SELECT rid, kind, stop - length(match) AS start, stop, match FROM placed),
+base AS (
+  SELECT * FROM spans
+  WHERE kind IN (1, 2) OR kind = 0 AND length(regexp_extract(match, '{S.ASSIGN}', 2)) >= {S.ASSIGN_LEAST}),
+told AS (
+  SELECT rid, start, stop, match, translate(replace(match, '=', ''), '-_', '+/') AS plain,
+         CASE WHEN regexp_matches(match, '^([0-9]+|[A-Z]?[a-z]+|[A-Z]+)$') THEN NULL
+              WHEN regexp_matches(match, '^([0-9a-f]+|[0-9A-F]+)$') THEN 'hex'
+              WHEN regexp_matches(match, '^[A-Z2-7]+$') THEN 'base32'
+              WHEN regexp_matches(match, '^([0-9a-z]+|[0-9A-Z]+)$') THEN 'base36'
+              WHEN length(replace(match, '=', '')) >= {S.LEAST} THEN 'base64' END AS encoding
+  FROM spans WHERE kind = 3),
+runs AS (
+  SELECT rid, start, stop, encoding,
+         CASE encoding WHEN 'base64' THEN plain WHEN 'base32' THEN match ELSE lower(match) END AS run,
+         CASE encoding {cases(lambda n, a: f"'{a}'")} END AS alphabet, CASE encoding {cases(lambda n, a: size[n])} END AS k
+  FROM told WHERE encoding IS NOT NULL),
+counted AS (
+  SELECT *, length(run) AS n, CASE encoding {halves} END AS bits,
+         list_transform(string_split(run, ''), lambda c: 2 * strpos(alphabet, c) - (k + 1)) AS v,
+         list_sum(list_transform(string_split(alphabet, ''),
+                  lambda c: (length(run) - length(replace(run, c, ''))) ** 2))::DOUBLE AS squares
+  FROM runs),
+tested AS (
+  SELECT *, CAST(floor(log2(n + 0.5::DOUBLE) * 2) AS INTEGER) AS band,
+         ((squares * k / n - n) - (k - 1)) / sqrt(CAST(2 * (k - 1) AS DOUBLE) * (n - 1) / n) AS z1,
+         ((length(bits) - length(replace(bits, '01', ''))) / 2 * 2 + (length(bits) - length(replace(bits, '10', ''))) / 2 * 2
+          - (n - 1)) / sqrt(CAST(n - 1 AS DOUBLE)) AS z2,
+         CAST(list_sum(list_transform(range(1, n), lambda i: v[i] * v[i + 1])) AS DOUBLE)
+         / ((k * k - 1) / 3.0::DOUBLE * sqrt(CAST(n - 1 AS DOUBLE))) AS z3
+  FROM counted),
+letters AS (SELECT {letters} FROM t),
+moments AS (
+  {" UNION ALL ".join(f"SELECT '{n}' AS encoding, {moment(n, a, 2)} AS s2, {moment(n, a, 3)} AS s3"
+                      for n, a in S.ALPHABETS.items())}),
+spread AS (
+  SELECT t.*, CAST(n AS DOUBLE) AS x, s2, s3,
+         2 * CAST(n AS DOUBLE) * (n - 1) * (s2 + 2 * CAST(n - 2 AS DOUBLE) * s3 - CAST(2 * n - 3 AS DOUBLE) * (s2 * s2)) AS var
+  FROM tested t JOIN moments m ON t.encoding = m.encoding),
+binned AS (
+  SELECT *, CASE WHEN var > 0 THEN CAST(greatest(least(floor(
+           (x + x * (x - 1) * s2 - squares) / sqrt(var) * {S.BINS}), {S.BINS * S.TOP}), -1) AS INTEGER) END AS bin
+  FROM spread),
+bins AS (SELECT band, bin, count(*) AS n FROM binned WHERE bin IS NOT NULL GROUP BY band, bin),
+reached AS (
+  SELECT band, bin, sum(n) OVER (PARTITION BY band) AS tested, sum(n) OVER (PARTITION BY band ORDER BY bin DESC) AS n FROM bins),
+bars AS (
+  SELECT band, min(bin) AS bar FROM reached
+  WHERE bin >= 0 AND CAST(tested AS DOUBLE) * ({S.tail()!r}::DOUBLE[])[bin + 1] <= {S.RATE}::DOUBLE * CAST(n AS DOUBLE)
+  GROUP BY band),
+drawn AS (
+  SELECT rid, 3 AS kind, start, stop FROM binned r JOIN bars ON r.band = bars.band
+  WHERE bin >= bar AND z1 * z1 + z2 * z2 + z3 * z3 <= {S.MOST_CHAOS}::DOUBLE
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = r.rid AND b.start < r.stop AND r.start < b.stop)),
+listed AS (
+  SELECT rid, kind, start, stop, ({list(S.KINDS)!r})[kind + 1] || ':' || start || ':' || stop AS word
+  FROM (SELECT rid, kind, start, stop FROM base UNION ALL SELECT * FROM drawn))
+SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+       count(*) FILTER (WHERE kind = 2) AS n_hex, count(*) FILTER (WHERE kind = 3) AS n_random,
+       sha256(coalesce(string_agg(word, ',' ORDER BY start, kind, stop) FILTER (WHERE kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(word, ',' ORDER BY start, kind, stop) FILTER (WHERE word IS NOT NULL), '') AS spans
+FROM t LEFT JOIN listed ON t.rid = listed.rid GROUP BY t.rid, doc_id
+"""
+
 
 #: Queries that SQL can express; the others are tested against brute force.
 ORACLE = {
@@ -207,4 +306,43 @@ placed AS (
   FROM scored WHERE NOT EXISTS (SELECT 1 FROM dropped d WHERE d.lang = scored.lang AND d.phrase = scored.phrase))
 SELECT placed.lang, rank, phrase, a, l, r, n, score FROM placed JOIN n ON placed.lang = n.lang WHERE rank <= 2000
 """,
+    "op12_z_fast_trie": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role,
+                       sha256(length(role)::VARCHAR || ':' || role || text)) AS ts
+  FROM t GROUP BY conv_id),
+-- CRC-32 of the decimal digits, bit by bit
+hs AS (
+  SELECT conv_id, ts, xor(list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+           lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)), lambda x, i:
+             CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) % 6 AS h
+  FROM own),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ts[1:c.h], []), c.ts[c.h + 1:]) AS ts
+  FROM hs c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+prefixes AS (
+  SELECT conv_id, d, ts[1:d] AS p, d = len(ts) AS whole
+  FROM (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE whole), '') AS ends
+  FROM prefixes GROUP BY p, d),
+kids AS (SELECT p[1:depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+own_sums AS (
+  SELECT nodes.p, depth, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(nodes.p[depth].text) END AS saved,
+         CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf
+  FROM nodes LEFT JOIN kids ON nodes.p = kids.p),
+subtrees AS (
+  SELECT p[1:k] AS p, sum(saved) AS saved, sum(leaf) AS leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS k FROM own_sums) GROUP BY ALL)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN subtrees s ON n.p = s.p LEFT JOIN kids ON n.p = kids.p
+     LEFT JOIN nodes u ON n.depth > 0 AND u.p = n.p[1:n.depth - 1]
+""",
+    "op13_random_secrets": _secrets_sql(),
 }
