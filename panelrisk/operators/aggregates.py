@@ -3,13 +3,13 @@ returns a small DataFrame; nothing is collected to the driver."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .sketch import column_quantiles
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -58,37 +58,23 @@ def distribution(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | N
     return out.orderBy(*(order_by or keys))
 
 
-def _accuracy(relative_error: float) -> int:
-    return max(1, int(math.ceil(1.0 / relative_error)))
-
-
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], relative_error: float,
               names: Sequence[str] | None = None) -> DataFrame:
-    """One-row frame of quantiles of ``column``; nulls and NaN are ignored
-    (NaN is normalised to null first, as ``approxQuantile`` skips it).
-
-    ``relative_error > 0``: Greenwald-Khanna sketch (``percentile_approx``,
-    the algorithm behind ``approxQuantile``): fixed memory, merged map-side.
-    ``relative_error == 0``: exact ``percentile_disc`` (always a value of
-    the column).  Exact keeps one counter per *distinct* value, so it is
-    meant for low-cardinality columns (years, per-entity covariates)."""
+    """One-row frame of ``quantile_values`` (null for a column without values)."""
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    v = df.select(F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double")).alias("__q"))
-    if relative_error > 0:
-        arr = F.percentile_approx("__q", F.array(*[F.lit(float(p)) for p in probs]),
-                                  F.lit(_accuracy(relative_error))).alias("__a")
-        return v.agg(arr).select(*[F.col("__a")[i].alias(n) for i, n in enumerate(names)])
-    return v.agg(*[F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY __q)").alias(n)
-                   for p, n in zip(probs, names)])
+    found = column_quantiles(df, [column], probs, relative_error)[column]
+    return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(n) for n, v in zip(names, found)])
 
 
 def quantile_values(df: DataFrame, column: str, probs: Sequence[float],
                     relative_error: float) -> list:
-    """The quantiles as Python numbers (what ``approxQuantile`` returns):
-    one aggregate job whose single small row comes back to the driver, to
-    be used as literals in the consuming plan."""
-    row = quantiles(df, column, probs, relative_error).first()
-    vals = list(row) if row is not None else [None] * len(probs)
+    """The quantiles as Python numbers (what ``approxQuantile`` returns), to
+    be used as literals in the consuming plan.  Nulls and NaN are ignored.
+
+    They come from counts in value bins (``sketch``): values of the column, off
+    by at most ``relative_error`` of all ranks, the same for any layout of the rows; 0 is
+    exact, whatever the number of distinct values."""
+    vals = column_quantiles(df, [column], probs, relative_error)[column]
     if any(v is None for v in vals):
         raise ValueError(f"quantiles of {column} cannot be computed: no values")
     return vals

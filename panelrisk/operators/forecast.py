@@ -1,22 +1,24 @@
-"""Forecasting: temporal split, random-forest fit and scoring, regression
-metrics, quantile risk zones and the single-entity report."""
+"""Forecasting: temporal split, regression metrics, quantile risk zones and the
+single-entity report.  The forest itself is in ``forest``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.bands import upper_inclusive_zone
 from .aggregates import quantile_values
+from .forest import Forest, fit_forest
 from .setops import union_by_name
 
 
+__all__ = ["Forest", "entity_report", "fit_forest", "quantile_zones", "regression_metrics", "split_value",
+           "temporal_split"]
+
+
 def split_value(df: DataFrame, year_col: str = K.YEAR, q: float = K.SPLIT_QUANTILE,
                 relative_error: float = K.SPLIT_RELATIVE_ERROR) -> int:
     """The split year: the q-quantile of year (one small aggregate job)."""
@@ -36,24 +38,6 @@ def temporal_split(df: DataFrame, year_col: str = K.YEAR, q: float = K.SPLIT_QUA
     return s, df.filter(F.col(year_col) <= s), df.filter(F.col(year_col) > s)
 
 
-def forest_pipeline(categorical: Sequence[str] = (K.LOCATION, K.MEASURE),
-                    numeric: Sequence[str] = (K.YEAR, K.GDP, K.POP, K.CLUSTER),
-                    label: str = K.VAL, trees: int = K.FOREST_TREES,
-                    max_bins: int = K.FOREST_MAX_BINS, seed: int = K.FOREST_SEED) -> Pipeline:
-    """index categoricals (keep unseen) -> assemble (skip invalid) -> forest."""
-    indexed = [f"{c}_idx" for c in categorical]
-    # one indexer for all columns: one pass over the training rows
-    idx = StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep")
-    asm = VectorAssembler(inputCols=indexed + list(numeric), outputCol="features", handleInvalid="skip")
-    rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees,
-                               maxBins=max_bins, seed=seed)
-    return Pipeline(stages=[idx, asm, rf])
-
-
-def fit_forest(train: DataFrame, **kw) -> PipelineModel:
-    return forest_pipeline(**kw).fit(train)
-
-
 def regression_metrics(pred: DataFrame, label: str = K.VAL,
                        prediction: str = K.PREDICTION) -> DataFrame:
     """``(n, r_squared, rmse, mae)`` in one aggregate pass (the three
@@ -75,12 +59,10 @@ def regression_metrics(pred: DataFrame, label: str = K.VAL,
 def quantile_zones(pred: DataFrame, column: str = K.PREDICTION,
                    probs: Sequence[float] = tuple(K.ZONE_QUANTILES),
                    relative_error: float = K.ZONE_RELATIVE_ERROR,
-                   labels: Sequence[str] = K.ZONE_LABELS, out: str = K.ZONE,
-                   cuts_on: DataFrame | None = None) -> DataFrame:
-    """Cut ``column`` at its own quantiles into upper-inclusive zones (the
-    two cuts are one small aggregate job, then literals).  ``cuts_on``: the
-    same rows in a fixed layout, where the sketch must not vary with it."""
-    lo, hi = quantile_values(pred if cuts_on is None else cuts_on, column, list(probs), relative_error)
+                   labels: Sequence[str] = K.ZONE_LABELS, out: str = K.ZONE) -> DataFrame:
+    """Cut ``column`` at its own quantiles into upper-inclusive zones.  The two cuts
+    are literals; the sketch that gives them does not follow the layout of the rows."""
+    lo, hi = quantile_values(pred, column, list(probs), relative_error)
     return pred.withColumn(out, upper_inclusive_zone(column, lo, hi, labels))
 
 
@@ -90,11 +72,13 @@ def entity_report(scored: DataFrame, history: DataFrame, entity: str = K.TARGET_
                                                 K.ZONE, K.GDP, K.POP, K.PROFILE),
                   history_cols: Sequence[str] = (K.TRANSLATED, K.YEAR, K.VAL, K.PROFILE)) -> DataFrame:
     """Scored rows of one entity; when it has none, its history instead.
-    Rows come in order of year; a ``source`` column says which they are.  Whether any scored row exists is a
+    Rows come in order of year, then of all other columns; a ``source``
+    column says which they are.  Whether any scored row exists is a
     ``limit(1)`` probe (stops at the first match)."""
     hit = scored.filter(F.col(entity_col) == F.lit(entity)).select(*scored_cols)
     if hit.limit(1).count() > 0:
-        return hit.withColumn("source", F.lit("scored")).orderBy(K.YEAR)
-    hist = history.filter(F.col(entity_col) == F.lit(entity)).select(*history_cols)
-    return union_by_name(hit.withColumn("source", F.lit("scored")),
-                         hist.withColumn("source", F.lit("history"))).orderBy(K.YEAR)
+        out = hit.withColumn("source", F.lit("scored"))
+    else:
+        hist = history.filter(F.col(entity_col) == F.lit(entity)).select(*history_cols)
+        out = union_by_name(hit.withColumn("source", F.lit("scored")), hist.withColumn("source", F.lit("history")))
+    return out.orderBy(K.YEAR, *[c for c in out.columns if c != K.YEAR])

@@ -58,8 +58,9 @@ def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, "left").drop(*rk.values())
 
 
-#: Rows of one key that a task of a salted join takes on at least.
-SALT_ROWS = 100_000
+#: Rows that make a key hot at least, and slices that a task's share of it is cut into
+#: (several, so that slices that hash to the same task add up to little).
+SALT_ROWS, SLICES = 100_000, 8
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
@@ -85,13 +86,13 @@ def salted_left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str]
         known = known & F.col(n).isNotNull()
     limit = max(int(least_rows), -(-keyed.count() // tasks))
     hot = (keyed.filter(known).groupBy(*ks).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
-           .select(*ks, F.ceil(F.col("__n") / F.lit(limit)).cast("int").alias("__salts")))
+           .select(*ks, F.ceil(F.col("__n") * SLICES / F.lit(limit)).cast("int").alias("__salts")))
     no_key = F.lit(False)
     for k in left_keys:
         no_key = no_key | F.col(k).isNull()
     spread = F.xxhash64(*[F.col(c) for c in spread_by])
     dealt = (left.join(F.broadcast(hot), [left[k] == hot[n] for k, n in zip(left_keys, ks)], "left").drop(*ks)
-             .withColumn("__salt", F.when(no_key, F.pmod(spread, F.lit(tasks)))
+             .withColumn("__salt", F.when(no_key, F.pmod(spread, F.lit(tasks * SLICES)))
                          .otherwise(F.pmod(spread, F.coalesce("__salts", F.lit(1)))).cast("int")).drop("__salts"))
     copies = (right.join(F.broadcast(hot), [right[k] == hot[n] for k, n in zip(right_keys, ks)], "left").drop(*ks)
               .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
@@ -105,7 +106,7 @@ def broadcastable(df: DataFrame) -> bool:
     broadcast threshold: the join is then planned without a shuffle."""
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return threshold >= 0 and int(size.toString()) <= threshold
+    return threshold >= 0 and int(str(size)) <= threshold
 
 
 def first_match_lookup(left: DataFrame, right: DataFrame, key: str | Sequence[str], value: str,
