@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,10 +73,37 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     tail = "/".join(p.strip("/") for p in parts)
     if unique:
         tail = f"{tail}/{uuid.uuid4().hex}" if tail else uuid.uuid4().hex
+        if _OWNED:
+            _OWNED[-1].append(f"{base}/{tail}")
     return f"{base}/{tail}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def staged(df: DataFrame, *parts: str) -> DataFrame:
+    """Write a step's rows into a new work folder (see ``shared_path``) and go on from the files: a
+    durable cut of the lineage, read back without listing a schema."""
+    path = shared_path(df.sparkSession, *parts)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Work folders of the runs that are open, the innermost last.
+_OWNED: list[list[str]] = []
+
+
+@contextmanager
+def owned_work(spark: SparkSession) -> Iterator[list[str]]:
+    """A run that owns its work folders: those that ``shared_path`` names inside go
+    when the run ends, also when it fails.
+
+    Frames made inside read those folders, so land the result (in a path of
+    your own) before the run ends.  Without an owner folders stay until
+    the cluster clears its checkpoint folder."""
+    mine: list[str] = []
+    _OWNED.append(mine)
+    try:
+        yield mine
+    finally:
+        _OWNED[:] = [x for x in _OWNED if x is not mine]
+        for path in mine:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -4,7 +4,6 @@ normaliser for files written by pandas-like tools."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +12,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import constants as K
 from ..functions.casts import safe_double, safe_int
+from ..operators.joins import broadcastable, salted_left_join
+from ..operators.ranks import numbered
 
 # FIXED VALUES: the text tokens pandas reads as missing by default.
 PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -20,10 +21,6 @@ PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "n/a", "nan", "null"]
 
 
-#: Most file names that are broadcast to rank a scan's files.
-BROADCAST_FILES = 50_000
-
-
 def _reader(spark: SparkSession, schema: StructType | str | None, header: bool, infer: bool):
     r = spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE")
     if schema is not None:
@@ -48,7 +45,7 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
         df = _reader(spark, schema, header, infer).csv(paths)
     except AnalysisException as e:  # PATH_NOT_FOUND for an empty glob
         raise FileNotFoundError(f"no input files match {paths}: {e}") from None
-    return with_input_order(df) if with_seq else df
+    return with_input_order(df, paths=paths) if with_seq else df
 
 
 def row_in_block(block: Column | None = None) -> Column:
@@ -60,31 +57,34 @@ def row_in_block(block: Column | None = None) -> Column:
     return start + F.monotonically_increasing_id().bitwiseAND(F.lit(low))
 
 
-def with_input_order(df: DataFrame, place: Column | None = None) -> DataFrame:
+def listed_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``(file)``: the files that a scan of ``paths`` reads, as data.  Spark lists them (in
+    parallel where there are many); no content is read."""
+    return spark.read.format("binaryFile").load(list(paths)).select(F.col("_metadata.file_path").alias("file"))
+
+
+def with_input_order(df: DataFrame, place: Column | None = None, paths: Sequence[str] | None = None) -> DataFrame:
     """Add ``source_file`` and ``seq``: the order of the files' paths, then the
     place in the file, whatever order the scan reads the files in.
 
     ``seq`` holds the path's rank above 40 bits of ``place`` (by default
-    ``row_in_block``; Parquet files number their rows themselves).  Only the
-    file names, which the scan has listed, are ranked on the driver."""
-    files = sorted({_same_scheme(f) for f in df.inputFiles()}, key=unquote)
+    ``row_in_block``; Parquet files number their rows themselves).  The ranks are
+    data: the files (listed from ``paths``, or else those that rows come from) are numbered
+    by Spark and joined back; no list of names meets on the driver, and rows of a file that holds
+    most of them are dealt out where the names are too many to broadcast."""
     placed = (df.withColumn("source_file", F.col("_metadata.file_path"))
                 .withColumn(K.SEQ, row_in_block() if place is None else place))
-    if len(files) < 2:
-        return placed
-    ranks = df.sparkSession.createDataFrame(list(enumerate(files)), "_rank long, _file string")
-    if len(files) <= BROADCAST_FILES:
-        ranks = F.broadcast(ranks)
-    path = F.regexp_replace("source_file", "^file:/+", "file:/")
+    files = (listed_files(df.sparkSession, paths) if paths else
+             placed.select(F.col("source_file").alias("file"))).distinct()
+    # by the names as they are, not as they are escaped (a plus sign is no blank)
+    ranks = numbered(files, [F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))], "_rank")
+    if broadcastable(ranks):
+        met = placed.join(ranks, placed["source_file"] == ranks["file"], "left")
+    else:
+        met = salted_left_join(placed, ranks, ["source_file"], ["file"], [K.SEQ])
     unlisted = F.raise_error(F.concat(F.lit("file not listed: "), "source_file")).cast("long")
-    return (placed.join(ranks, path == F.col("_file"), "left")
-            .withColumn(K.SEQ, F.shiftleft(F.coalesce("_rank", unlisted), 40) + F.col(K.SEQ))
-            .drop("_rank", "_file"))
-
-
-def _same_scheme(path: str) -> str:
-    """Local paths are listed with three slashes, but read with one."""
-    return "file:/" + path[5:].lstrip("/") if path.startswith("file:/") else path
+    return (met.withColumn(K.SEQ, F.shiftleft(F.coalesce("_rank", unlisted), 40) + F.col(K.SEQ))
+            .drop("_rank", "file"))
 
 
 def normalise_null_tokens(df: DataFrame, columns: Sequence[str] | None = None,
