@@ -29,7 +29,7 @@ from .. import constants as K
 from ..functions import bands
 from ..operators import aggregates, conform, forecast, setops
 from ..operators import sort as sorting
-from ..operators.features import median_impute
+from ..session import owned_work
 from ..sources import csv as csv_src
 from ..sources import lake
 from . import jobs
@@ -58,7 +58,7 @@ def _read_text_csv(spark: SparkSession, paths, types: Mapping[str, str] | None =
         r = csv_src.normalise_null_tokens(r)
     if types:
         r = conform.safe_casts(r, {c: t for c, t in types.items() if t != "string"})
-    return csv_src.with_input_order(r) if with_seq else r
+    return csv_src.with_input_order(r, paths=[paths] if isinstance(paths, str) else paths) if with_seq else r
 
 
 def forecast_run(spark: SparkSession, panel_paths: str | Sequence[str], gdp_path: str,
@@ -81,11 +81,10 @@ def forecast_run(spark: SparkSession, panel_paths: str | Sequence[str], gdp_path
     gdp_raw = lake.roundtrip(gdp_raw, f"{out}/raw/gdp")
     pop_raw = lake.roundtrip(pop_raw, f"{out}/raw/pop_density")
 
-    joined = jobs.integrate_panel(panel, gdp_raw, pop_raw, dictionary=dictionary, metric=metric,
-                                  impute=False)
-    joined = lake.roundtrip(joined, f"{out}/staging/master")
-    before = aggregates.null_profile(joined, [K.VAL, K.GDP, K.POP])
-    master = jobs.curate(median_impute(joined, [K.GDP, K.POP]), f"{out}/curated_master")
+    before, integrated = (jobs.integrate_panel(panel, gdp_raw, pop_raw, dictionary=dictionary, metric=metric,
+                                               impute=impute) for impute in (False, True))
+    before = aggregates.null_profile(before, [K.VAL, K.GDP, K.POP])
+    master = jobs.curate(integrated, f"{out}/curated_master")
 
     _, labelled, sil, split, model, zoned, metrics = jobs.profile_and_forecast(
         master, partitions=partitions, **forest_kw)
@@ -144,14 +143,15 @@ def _forecast_reports(labelled: DataFrame, zoned: DataFrame, silhouette: float |
 def _read_input(spark: SparkSession, path: str, fmt: str, types: Mapping[str, str]) -> DataFrame:
     """A lake folder (``parquet``) or CSV files, safely cast, with ``seq``
     (kept when present, else input order)."""
+    path = lake.resolve(spark, path)
     if fmt == "parquet":
         df = spark.read.parquet(path)
         if K.SEQ not in df.columns:
-            df = csv_src.with_input_order(df, F.col("_metadata.row_index")).drop("source_file")
+            df = csv_src.with_input_order(df, F.col("_metadata.row_index"), [path]).drop("source_file")
     else:
         df = _read_text_csv(spark, path, null_tokens=True)
         if K.SEQ not in df.columns:
-            df = csv_src.with_input_order(df).drop("source_file")
+            df = csv_src.with_input_order(df, paths=[path]).drop("source_file")
     casts = {c: t for c, t in types.items() if t != "string" and c in df.columns}
     casts[K.SEQ] = "bigint"
     return conform.safe_casts(df, casts)
@@ -203,13 +203,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     m.add_argument("--out", required=True)
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"panelrisk-{a.cmd}").getOrCreate()
-    if a.cmd == "forecast":
-        res = forecast_run(spark, a.panel, a.gdp, a.pop, a.out)
-        res["metrics"].show(truncate=False)
-    else:
-        res = map_run(spark, a.predictions, a.master, a.upload, a.out,
-                      predictions_format=a.predictions_format, master_format=a.master_format)
-        res["watchlist"].show(truncate=False)
+    with owned_work(spark):                       # results are in ``out``; work folders go
+        if a.cmd == "forecast":
+            res = forecast_run(spark, a.panel, a.gdp, a.pop, a.out)
+            res["metrics"].show(truncate=False)
+        else:
+            res = map_run(spark, a.predictions, a.master, a.upload, a.out,
+                          predictions_format=a.predictions_format, master_format=a.master_format)
+            res["watchlist"].show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -16,7 +16,7 @@ from .. import constants as K
 from ..functions import bands, casts, text
 from ..functions.lookup import translate
 from ..operators import (aggregates, cluster, conform, dedupe, features, forecast, joins,
-                         setops, sort)
+                         setops, sketch, sort)
 from ..session import shared_path
 from ..sources import csv as csv_src
 from ..sources import lake
@@ -38,66 +38,52 @@ SAMPLE_KEY_MOD = 2147483647
 
 # ------------------------------------------------------------------ shared
 def _conformed_gdp(spark, d):
-    return conform.conform_covariate(V.cov_gdp(spark, d), "gdp", K.GDP, "year_gdp",
+    raw = lake.roundtrip(V.cov_gdp(spark, d), shared_path(spark, "lake", "covariate"))
+    return conform.conform_covariate(raw, "gdp", K.GDP, "year_gdp",
                                      entity_name="country_gdp")
 
 
-def _conformed_pop(spark, d):
-    return conform.conform_covariate(V.cov_density(spark, d), "density", K.POP, "year_pop",
-                                     entity_name="country_pop", fallback="last", positive_year=True)
-
-
 def _translated_panel(spark, d):
     return joins.dictionary_join(V.panel(spark, d), K.LOCATION, V.dictionary(spark, d), K.TRANSLATED)
 
 
-def joined_panel(spark, d, metric=V.RATE):
-    """C1 up to (not including) imputation: panel slice, translated and
-    joined to both covariates.  The covariates are landed first, as the
-    program's raw zone does: their size is then known when the joins are
-    planned, and small ones are broadcast without a shuffle of the panel."""
-    gdp, pop = (lake.roundtrip(cov(spark, d), shared_path(spark, "lake", "covariate"))
-                for cov in (V.cov_gdp, V.cov_density))
-    return jobs.integrate_panel(V.panel(spark, d), gdp, pop,
-                                dictionary=V.dictionary(spark, d), metric=metric, impute=False)
+def _landed_covariates(spark, d):
+    """The covariates, landed as the program's raw zone does: their size is then
+    known when a join is planned, and small ones are broadcast without a
+    shuffle of the panel."""
+    return tuple(lake.roundtrip(cov(spark, d), shared_path(spark, "lake", "covariate"))
+                 for cov in (V.cov_gdp, V.cov_density))
 
 
-def staged_panel(spark, d, metric=V.RATE):
-    """The joined panel staged once in the shared folder, so the median job
-    and the imputation (and, in the map stage, both masters) scan files
-    instead of recomputing the joins."""
-    return lake.roundtrip(joined_panel(spark, d, metric), shared_path(spark, "lake", "staging_panel"))
+def integrated(spark, d, metric=V.RATE, impute=True):
+    """C1 on the test views, not landed.  Covariate medians are exact."""
+    gdp, pop = _landed_covariates(spark, d)
+    return jobs.integrate_panel(V.panel(spark, d), gdp, pop, dictionary=V.dictionary(spark, d), metric=metric,
+                                impute_relative_error=0.0, impute=impute)
 
 
-def master(spark, d, metric=V.RATE, impute=True, staged=None):
-    """C1 on the test views.  Covariate medians are exact: the covariate
-    columns hold one value per (entity, year), a bounded cardinality.
+def joined_panel(spark, d, metric=V.RATE):
+    """C1 up to (not including) imputation."""
+    return integrated(spark, d, metric, impute=False)
+
 
-    The imputed master is landed in the curated zone, partitioned by year,
+def master(spark, d, metric=V.RATE):
+    """C1 on the test views: the imputed master is landed in the curated zone, partitioned by year,
     and re-read, as the original does: later steps scan those files, a lost
     executor recomputes from the zone, and year filters (the temporal
-    split) prune partitions.  ``staged`` (all metrics) lets several masters
-    share one join."""
-    if not impute:
-        return joined_panel(spark, d, metric)
-    if staged is None:
-        staged = staged_panel(spark, d, metric)
-    elif metric is not None:
-        staged = conform.slice_equal(staged, K.METRIC, metric)
-    imputed = features.median_impute(staged, [K.GDP, K.POP], 0.0)
-    return jobs.curate(imputed, shared_path(spark, "lake", "curated_master"))
-
-
-def scored(spark, d, staged=None, built=None):
+    split) prune partitions.  It is the only write of the panel."""
+    return jobs.curate(integrated(spark, d, metric), shared_path(spark, "lake", "curated_master"))
+
+
+def scored(spark, d, built=None):
     """Deterministic, SQL-checkable stand-in for the fitted models: fixed
     value bands as cluster ids, ranked into profiles; split at the exact
     0.8 quantile of year; a persistence forecast (the value of the latest
     training row of the same entity and measure, else of the latest
     training row overall); zones at exact 0.33/0.66 quantiles of the
-    predictions (one distinct value per entity x measure, so the exact
-    quantile state stays bounded).  ``built``: a curated master the caller
+    predictions.  ``built``: a curated master the caller
     already built (so it is not built twice)."""
-    m = built if built is not None else master(spark, d, staged=staged)
+    m = built if built is not None else master(spark, d)
     m = m.withColumn(K.CLUSTER, V.supplied_cluster())
     m = cluster.rank_labels(m, K.CLUSTER, K.VAL)
     _, train, test = forecast.temporal_split(m, relative_error=0.0)
@@ -110,25 +96,25 @@ def scored(spark, d, staged=None, built=None):
     return forecast.quantile_zones(pred, relative_error=0.0)
 
 
-def pred_export(spark, d, staged=None):
+def pred_export(spark, d):
     """The prediction export, handed to the map stage by file (as the
     original hands over its CSV): written once, then scanned."""
-    path = shared_path(spark, "lake", "predictions")
-    lake.land(scored(spark, d, staged).select(*K.EXPORT_COLUMNS, K.SEQ), path)
-    return lake.read_zone(spark, path)
+    return lake.roundtrip(scored(spark, d).select(*K.EXPORT_COLUMNS, K.SEQ), shared_path(spark, "lake", "predictions"))
 
 
 def _map_dict(spark, d):
     return V.dictionary(spark, d)
 
 
-def _map_pred(spark, d, staged=None):
-    return jobs._standardise(pred_export(spark, d, staged), K.TRANSLATED, _map_dict(spark, d))
+def _map_pred(spark, d):
+    return jobs._standardise(pred_export(spark, d), K.TRANSLATED, _map_dict(spark, d))
 
 
-def _map_master(spark, d, staged=None):
-    return jobs._standardise(master(spark, d, metric=None, staged=staged), K.TRANSLATED,
-                             _map_dict(spark, d))
+def _map_master(spark, d):
+    """All metrics, not landed: the map stage takes a few rows for each entity
+    from it, so every reader is an aggregate over a scan, and nothing of the panel's
+    size is written."""
+    return jobs._standardise(integrated(spark, d, metric=None), K.TRANSLATED, _map_dict(spark, d))
 
 
 def _map_upload(spark, d):
@@ -137,8 +123,7 @@ def _map_upload(spark, d):
 
 
 def _assembled(spark, d, pattern=V.MEASURE_PATTERN):
-    staged = staged_panel(spark, d, metric=None)      # one join for both masters
-    pred, mall = _map_pred(spark, d, staged), _map_master(spark, d, staged)
+    pred, mall = _map_pred(spark, d), _map_master(spark, d)
     up = _map_upload(spark, d)
     # the view's count rows, one for each (entity, year, measure): the join cannot explode
     counts = (conform.slice_equal(mall, K.METRIC, V.COUNT).groupBy(K.TRANSLATED, K.YEAR, K.MEASURE)
@@ -370,9 +355,8 @@ def q_anti_join_missing_entities(spark, d):
 
 
 def q_latest_label_lookup(spark, d):
-    staged = staged_panel(spark, d, metric=None)
-    ents = aggregates.distinct_values(master(spark, d, metric=None, staged=staged), K.TRANSLATED)
-    return joins.latest_lookup(ents, pred_export(spark, d, staged), K.TRANSLATED, [K.ZONE, K.PROFILE])
+    ents = aggregates.distinct_values(integrated(spark, d, metric=None), K.TRANSLATED)
+    return joins.latest_lookup(ents, pred_export(spark, d), K.TRANSLATED, [K.ZONE, K.PROFILE])
 
 
 def q_fallback_backfill(spark, d):
@@ -390,9 +374,8 @@ def q_watchlist_coverage(spark, d):
 # ------------------------------------------------------------------ aggregates
 def q_null_profile(spark, d):
     cols = [K.VAL, K.GDP, K.POP]
-    staged = staged_panel(spark, d)          # the joins run once for both profiles
-    before = aggregates.null_profile(staged, cols)
-    after = aggregates.null_profile(master(spark, d, staged=staged, metric=None), cols)
+    before = aggregates.null_profile(joined_panel(spark, d), cols)
+    after = aggregates.null_profile(master(spark, d), cols)
     return setops.union_by_name(before.withColumn("stage", F.lit("before")),
                                 after.withColumn("stage", F.lit("after")))
 
@@ -429,9 +412,27 @@ def q_quantile_cuts(spark, d):
                                 p.withColumn("column", F.lit("prediction")))
 
 
+#: Column, table (also of the twin), probabilities and error of the checked sketches.
+SKETCHED = ((K.YEAR, "panel", (0.0, 0.2, 0.5, K.SPLIT_QUANTILE, 1.0), K.SPLIT_RELATIVE_ERROR),
+            (K.VAL, "panel", (0.01, 0.25, 0.5, 0.75, 0.999), K.IMPUTE_RELATIVE_ERROR),
+            (K.PREDICTION, "scored", tuple(K.ZONE_QUANTILES), K.ZONE_RELATIVE_ERROR))
+
+
+def q_quantile_sketch(spark, d):
+    """The default branch of the quantiles: ranks of the returned values, counted
+    over all rows, against the stated error."""
+    out = []
+    tables = {"panel": V.panel(spark, d), "scored": scored(spark, d)}
+    for column, name, probs, error in SKETCHED:
+        values = aggregates.quantile_values(tables[name], column, probs, error)
+        ranks = sketch.rank_check(tables[name], column, dict(zip(probs, values)), error)
+        out.append(ranks.select(F.lit(column).alias("column"), "prob", "n_rows", F.lit(error).alias("relative_error"),
+                                "within_error"))
+    return setops.union_by_name(*out)
+
+
 def q_median_impute(spark, d):
-    m = features.median_impute(master(spark, d, impute=False), [K.GDP, K.POP], 0.0)
-    return m.select(K.SEQ, K.GDP, K.POP)
+    return integrated(spark, d).select(K.SEQ, K.GDP, K.POP)
 
 
 def q_temporal_split(spark, d):
@@ -480,6 +481,14 @@ def q_entity_report(spark, d):
     return forecast.entity_report(scored(spark, d, built=m), hist, REPORT_ENTITY)
 
 
+def q_entity_report_history(spark, d):
+    """M14 where the entity has no scored row: its history."""
+    m = master(spark, d)
+    hist = cluster.rank_labels(m.withColumn(K.CLUSTER, V.supplied_cluster()))
+    others = scored(spark, d, built=m).filter(F.col(K.TRANSLATED) != REPORT_ENTITY)
+    return forecast.entity_report(others, hist, REPORT_ENTITY)
+
+
 def q_union_by_name(spark, d):
     return setops.union_by_name(_map_pred(spark, d), _map_upload(spark, d))
 
@@ -539,24 +548,23 @@ def q_string_index(spark, d):
 
 def q_assemble_skip_invalid(spark, d):
     cols = [K.GDP, K.POP, K.VAL, K.YEAR]
-    a = features.assemble(master(spark, d, impute=False), cols, "features", "skip")
+    a = features.assemble(joined_panel(spark, d), cols, "features", "skip")
     arr = vector_to_array("features")
     return a.select(K.SEQ, *[arr[i].alias(f"f{i}") for i in range(len(cols))])
 
 
 def q_upload_stream(spark, d):
-    """C4 through Structured Streaming: the uploads view is written as one
-    upload file (in its row order), a file-source stream classifies it."""
-    from ..streaming import read_classified, start_upload_stream
-    src = shared_path(spark, "uploads", "incoming")
-    up = V.uploads(spark, d)
-    # one file, as its rows stand in one order: an upload is a file that a user sends
-    lake.land(up.orderBy(K.SEQ).coalesce(1).select(K.LOCATION, K.METRIC, K.VAL), src, "csv")
-    sink = shared_path(spark, "uploads", "classified")
-    q = start_upload_stream(spark, src, sink, dictionary=_map_dict(spark, d), rate=V.RATE,
-                            count=V.COUNT, year=V.TARGET_YEAR)
+    """C4 through Structured Streaming: the uploads view is landed as one upload
+    of many files, in row order by file name and place, and announced; the
+    stream classifies it as a whole."""
+    from ..streaming import announce_upload, read_classified, start_announced_stream
+    inbox, sink = shared_path(spark, "uploads", "inbox"), shared_path(spark, "uploads", "classified")
+    up = V.uploads(spark, d).repartitionByRange(K.SEQ).sortWithinPartitions(K.SEQ)
+    announce_upload(up.select(K.LOCATION, K.METRIC, K.VAL), inbox, "view")
+    q = start_announced_stream(spark, inbox, sink, dictionary=_map_dict(spark, d), rate=V.RATE,
+                               count=V.COUNT, year=V.TARGET_YEAR)
     q.awaitTermination()
-    return read_classified(spark, sink).drop("batch_id", "source_file", K.SEQ)
+    return read_classified(spark, sink).drop("batch_id", "upload", "source_file", K.SEQ)
 
 
 def q_classify_upload(spark, d):

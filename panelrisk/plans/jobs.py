@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions import bands, text
+from ..functions import bands, casts, text
 from ..functions.lookup import translate
 from ..operators import aggregates, cluster, conform, dedupe, features, forecast, joins, setops
 from ..operators import sort as sorting
-from ..session import shared_path
+from ..session import staged
 from ..sources import lake
 
 Dictionary = Mapping[str, str] | DataFrame
@@ -37,38 +37,72 @@ def _standardise(df: DataFrame, column: str, dictionary: Dictionary) -> DataFram
 
 
 # ---------------------------------------------------------------- C1
+def _conformed(gdp_raw: DataFrame, pop_raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    gdp = conform.conform_covariate(gdp_raw, "gdp", K.GDP, "year_gdp", entity_name="country_gdp")
+    pop = conform.conform_covariate(pop_raw, "density", K.POP, "year_pop", entity_name="country_pop",
+                                    fallback="last", positive_year=True)
+    return gdp, pop
+
+
+def _with_covariate(panel: DataFrame, cov: DataFrame, entity: str, year: str, require_unique: bool,
+                    salt_rows: int | None) -> DataFrame:
+    """Left join of a yearly covariate.  One that the planner will broadcast leaves
+    the panel where it is; a larger one is met with hot (entity, year) keys
+    of the panel dealt out."""
+    keys, own = [K.TRANSLATED, K.YEAR], [entity, year]
+    if salt_rows is None and joins.broadcastable(cov):
+        return joins.left_join_on(panel, cov, keys, own, require_unique=require_unique)
+    if require_unique:
+        joins.assert_unique(cov, own)
+    spread = [c for c, t in panel.dtypes if t in features.SORTABLE]
+    return joins.salted_left_join(panel, cov, keys, own, spread, least_rows=salt_rows or joins.SALT_ROWS)
+
+
 def integrate_panel(panel: DataFrame, gdp_raw: DataFrame, pop_raw: DataFrame,
                     dictionary: Dictionary = K.JOIN_STAGE_NAMES,
                     metric: str | None = K.METRIC_RATE,
                     impute_relative_error: float = K.IMPUTE_RELATIVE_ERROR,
-                    impute: bool = True, require_unique: bool = False) -> DataFrame:
+                    impute: bool = True, require_unique: bool = False,
+                    salt_rows: int | None = None) -> DataFrame:
     """Fact panel + two yearly covariates -> curated master.
 
     drop incomplete rows -> one metric -> translate entity names ->
     conform covariates (value column found by name) -> two left joins on
     (entity, year) -> typed projection -> median imputation.  The
     covariates are (entity x year) tables; the planner broadcasts them
-    while they are under the size threshold and shuffle-joins otherwise."""
+    while they are under the size threshold, and salted joins meet them
+    otherwise (``salt_rows``: always, with so many rows of a key to a salt).
+
+    The medians are those of the joined rows, taken without joining
+    them: the panel is counted by (entity, year), the counts are joined, and a
+    covariate's value weighs as much as the rows it meets.  So the joined rows
+    are computed once, by whoever writes or reads the master."""
     p = conform.drop_missing(panel, K.PANEL_REQUIRED)
     if metric is not None:
         p = conform.slice_equal(p, K.METRIC, metric)
     p = _translate(p, K.LOCATION, dictionary, K.TRANSLATED)
-    gdp = conform.conform_covariate(gdp_raw, "gdp", K.GDP, "year_gdp", entity_name="country_gdp")
-    pop = conform.conform_covariate(pop_raw, "density", K.POP, "year_pop", entity_name="country_pop",
-                                    fallback="last", positive_year=True)
-    j = joins.left_join_on(p, gdp, [K.TRANSLATED, K.YEAR], ["country_gdp", "year_gdp"],
-                           require_unique=require_unique)
-    j = joins.left_join_on(j, pop, [K.TRANSLATED, K.YEAR], ["country_pop", "year_pop"],
-                           require_unique=require_unique)
+    gdp, pop = _conformed(gdp_raw, pop_raw)
+    j = _with_covariate(p, gdp, "country_gdp", "year_gdp", require_unique, salt_rows)
+    j = _with_covariate(j, pop, "country_pop", "year_pop", require_unique, salt_rows)
     keep = ([K.SEQ] if K.SEQ in panel.columns else []) + [
         K.LOCATION, K.TRANSLATED, K.MEASURE, K.METRIC, K.YEAR, K.VAL, K.GDP, K.POP]
     master = conform.typed_projection(j, {c: {K.YEAR: "int", K.VAL: "double", K.GDP: "double",
                                               K.POP: "double"}.get(c, "keep") for c in keep})
     if impute:
-        master = features.median_impute(master, [K.GDP, K.POP], impute_relative_error)
+        master = features.median_impute(master, [K.GDP, K.POP], impute_relative_error,
+                                        fit_on=_covariates_by_rows(p, gdp, pop), weight="__rows")
     return master
 
 
+def _covariates_by_rows(panel: DataFrame, gdp: DataFrame, pop: DataFrame) -> DataFrame:
+    """``(gdp, pop, __rows)``: what the joined panel holds in its covariate columns, one row for
+    each (entity, year) and pair of matches instead of one for each panel row."""
+    keys = panel.groupBy(K.TRANSLATED, K.YEAR).agg(F.count(F.lit(1)).alias("__rows"))
+    j = joins.left_join_on(keys, gdp, [K.TRANSLATED, K.YEAR], ["country_gdp", "year_gdp"])
+    j = joins.left_join_on(j, pop, [K.TRANSLATED, K.YEAR], ["country_pop", "year_pop"])
+    return j.select("__rows", *[casts.safe_double(c).alias(c) for c in (K.GDP, K.POP)])
+
+
 def curate(master: DataFrame, path: str, partition_by: Sequence[str] = (K.YEAR,)) -> DataFrame:
     """Land the master in the curated zone and continue from the files
     (a durable lineage cut; year-partitioned for pruning)."""
@@ -116,56 +150,34 @@ def profile_clusters(master: DataFrame, features_: Sequence[str] = PROFILE_FEATU
 
 
 # ---------------------------------------------------------------- C3
-def forecast_zones(labelled: DataFrame, key: Sequence[str] = (K.SEQ,), partitions: int | None = None,
+def forecast_zones(labelled: DataFrame, key: Sequence[str] = (K.SEQ,),
                    split_relative_error: float = K.SPLIT_RELATIVE_ERROR,
-                   zone_relative_error: float = K.ZONE_RELATIVE_ERROR, laid_out: bool = False, **kw):
+                   zone_relative_error: float = K.ZONE_RELATIVE_ERROR, **kw):
     """Temporal split -> forest -> scored test rows -> quantile zones.
     Returns ``(split, model, zoned, metrics)``.
 
-    The forest scores the test rows once: they are landed in the shared
-    folder, and zones, metrics and every reader start at those files.
-    ``laid_out``: the caller holds ``labelled`` cached in a stable layout."""
+    None of the steps follows the layout of the rows (sketch quantiles, draws by a hash of
+    ``key``), so ``labelled`` is read as it stands.  The forest scores the test
+    rows once: they are landed in the shared
+    folder, and zones, metrics and every reader start at those files."""
     columns = labelled.columns
-    # The approximate split and zone quantiles and the forest see the same
-    # partitions on every run.
-    if not laid_out:
-        labelled = features.stable_layout(labelled, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        split, train, test = forecast.temporal_split(labelled, relative_error=split_relative_error)
-        model = forecast.fit_forest(train, **kw)
-        path = shared_path(labelled.sparkSession, "lake", "scored")
-        lake.land(model.transform(test).select(*columns, K.PREDICTION), path)
-    finally:
-        if not laid_out:
-            labelled.unpersist()
-    pred = lake.read_zone(labelled.sparkSession, path)
-    cuts_on = features.stable_layout(pred.select(*key, K.PREDICTION), list(key), partitions)
-    zoned = forecast.quantile_zones(pred, relative_error=zone_relative_error, cuts_on=cuts_on)
+    split, train, test = forecast.temporal_split(labelled, relative_error=split_relative_error)
+    model = forecast.fit_forest(train, key, **kw)
+    pred = staged(model.transform(test).select(*columns, K.PREDICTION), "lake", "scored")
+    zoned = forecast.quantile_zones(pred, relative_error=zone_relative_error)
     return split, model, zoned, forecast.regression_metrics(pred)
 
 
 def profile_and_forecast(master: DataFrame, key: Sequence[str] = (K.SEQ,),
                          partitions: int | None = None, with_silhouette: bool = True,
                          split_relative_error: float = K.SPLIT_RELATIVE_ERROR, **forest_kw):
-    """C2 then C3 on one stable layout of the master: it is shuffled and
-    cached once for the k-means fit and the forest fit (the labelling in
-    between is a projection, so the layout carries over unchanged).
+    """C2 then C3: the profiles fitted in C2 are a feature of the forest.
     Returns ``(cluster_model, labelled, silhouette, split, forest_model,
-    zoned, metrics)``; the frames read the master and the landed scores,
-    not the layout, which is freed."""
-    data = features.stable_layout(master, list(key), partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    vectors = ("raw_cluster_features", "scaled_cluster_features")
-    try:
-        cmodel, mapping = _fit_profiles(data, PROFILE_FEATURES, None)
-        split, fmodel, zoned, metrics = forecast_zones(
-            _profiled(cmodel, mapping, data).drop(*vectors), key, partitions, laid_out=True,
-            split_relative_error=split_relative_error, **forest_kw)
-    finally:
-        data.unpersist()
-    labelled = _profiled(cmodel, mapping, master)
-    sil = (cluster.silhouette(labelled, "scaled_cluster_features", K.CLUSTER, dim=len(PROFILE_FEATURES))
-           if with_silhouette else None)
-    return cmodel, labelled.drop(*vectors), sil, split, fmodel, zoned, metrics
+    zoned, metrics)``; the frames read the master and the landed scores."""
+    cmodel, labelled, sil = profile_clusters(master, key=key, partitions=partitions, with_silhouette=with_silhouette)
+    labelled = labelled.drop("raw_cluster_features", "scaled_cluster_features")
+    split, fmodel, zoned, metrics = forecast_zones(labelled, key, split_relative_error, **forest_kw)
+    return cmodel, labelled, sil, split, fmodel, zoned, metrics
 
 
 # ---------------------------------------------------------------- C4
@@ -173,23 +185,24 @@ def classify_upload(upload: DataFrame, dictionary: Dictionary = K.MAP_STAGE_NAME
                     rate: str = K.UPLOAD_METRIC_RATE, count: str = K.UPLOAD_METRIC_COUNT,
                     year: int = K.MAP_YEAR, measure: str = K.MAP_MEASURE,
                     metric: str = K.MAP_METRIC, low: float = K.FIXED_LOW_CUT,
-                    high: float = K.FIXED_HIGH_CUT, file_column: str | None = None) -> DataFrame:
+                    high: float = K.FIXED_HIGH_CUT, upload_column: str | None = None,
+                    order: Sequence[str] = (K.SEQ,)) -> DataFrame:
     """Uploaded rate rows -> classified map rows.  Each rate row gets fixed
-    bands and the value of the *first* count row of the same entity; with
-    ``file_column``, of the same entity in the same file."""
+    bands and the value of the *first* count row (by ``order``) of the same entity; with
+    ``upload_column``, of the same entity in the same upload, which may be many files."""
     up = _standardise(upload, K.LOCATION, dictionary)
     rates = conform.slice_equal(up, K.METRIC, rate)
     counts = conform.slice_equal(up, K.METRIC, count)
-    j = joins.first_match_lookup(rates, counts, [K.LOCATION, *([file_column] if file_column else [])],
-                                 K.VAL, [K.SEQ], K.COUNT_VAL)
-    j = j.drop(f"__o_{K.SEQ}")
+    of = [upload_column] if upload_column else []
+    j = joins.first_match_lookup(rates, counts, [K.LOCATION, *of], K.VAL, list(order), K.COUNT_VAL)
+    j = j.drop(*[f"__o_{c}" for c in order])
     zone = bands.fixed_band(K.VAL, low, high)
     return j.select(
         F.col(K.LOCATION), F.col(K.LOCATION).alias(K.TRANSLATED),
         F.lit(measure).alias(K.MEASURE), F.lit(metric).alias(K.METRIC),
         F.lit(year).cast("int").alias(K.YEAR), F.col(K.VAL), F.col(K.VAL).alias(K.PREDICTION),
         zone.alias(K.ZONE), bands.profile_from_zone(zone).alias(K.PROFILE),
-        F.col(K.COUNT_VAL), F.col(K.SEQ), *([F.col(file_column)] if file_column else []))
+        F.col(K.COUNT_VAL), *[F.col(c) for c in order], *[F.col(c) for c in of])
 
 
 # ---------------------------------------------------------------- C5

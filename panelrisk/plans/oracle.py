@@ -135,17 +135,17 @@ mstd AS (
   SELECT m.* EXCLUDE (translated_location),
          {_strip('coalesce(d.target, m.translated_location)')} AS translated_location
   FROM master_all m LEFT JOIN dict d ON m.translated_location = d.source),
-up_first AS (
-  SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, l_extendedprice AS v FROM lineitem
-  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                             ORDER BY l_partkey, l_suppkey, l_extendedprice, l_returnflag) = 1),
-uploads AS (
-  SELECT CAST(l_orderkey AS BIGINT) * {V.UPLOAD_LINES} + l_linenumber AS seq,
-         n_name AS location_name,
+up_rows AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN r_name IN {_in(V.UPLOAD_REGIONS)} THEN n_name ELSE r_name END AS location_name,
          CASE l_returnflag WHEN 'R' THEN {rate} WHEN 'A' THEN {count} ELSE 'Other' END AS metric_name,
-         v / {V.UPLOAD_DIVISOR} AS val
-  FROM up_first JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-       JOIN region ON n_regionkey = r_regionkey WHERE r_name IN {_in(V.UPLOAD_REGIONS)}),
+         l_extendedprice / {V.UPLOAD_DIVISOR} AS val
+  FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey
+       LEFT JOIN region ON n_regionkey = r_regionkey),
+uploads AS (
+  SELECT row_number() OVER (ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, location_name NULLS FIRST,
+                            metric_name, val NULLS FIRST) - 1 AS seq, location_name, metric_name, val
+  FROM up_rows),
 ustd AS (
   SELECT u.seq, {_strip('coalesce(d.target, u.location_name)')} AS location_name, u.metric_name, u.val
   FROM uploads u LEFT JOIN dict d ON u.location_name = d.source),
@@ -352,6 +352,9 @@ BODIES: dict[str, str] = {
     "zone_distribution": "SELECT cluster_risiko, count(*) AS count FROM scored GROUP BY cluster_risiko",
     "quantile_cuts": f"""SELECT {_QCOLS_Y}, 'year' AS "column" FROM panel
         UNION ALL SELECT {_QCOLS_P}, 'prediction' FROM scored""",
+    "quantile_sketch": f"""SELECT x.* FROM ({" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS prob, count({c}) AS n_rows, {e}::DOUBLE AS relative_error, "
+        f"true AS within_error FROM {t}" for c, t, ps, e in C.SKETCHED for p in ps)}) x""",
     "median_impute": "SELECT seq, gdp_per_capita, pop_density FROM master",
     "temporal_split": """SELECT seq, year, CASE WHEN year <= (SELECT s FROM split) THEN 'train' ELSE 'test' END AS part
         FROM master""",
@@ -373,6 +376,10 @@ BODIES: dict[str, str] = {
         UNION ALL BY NAME SELECT translated_location, year, val, profil_negara, 'history' AS source
         FROM mp WHERE translated_location = {_q(C.REPORT_ENTITY)}
           AND NOT EXISTS (SELECT 1 FROM scored WHERE translated_location = {_q(C.REPORT_ENTITY)})""",
+    "entity_report_history": f"""SELECT translated_location, year, CAST(NULL AS VARCHAR) AS measure_name, val,
+        CAST(NULL AS DOUBLE) AS prediction, CAST(NULL AS VARCHAR) AS cluster_risiko,
+        CAST(NULL AS DOUBLE) AS gdp_per_capita, CAST(NULL AS DOUBLE) AS pop_density, profil_negara, 'history' AS source
+        FROM mp WHERE translated_location = {_q(C.REPORT_ENTITY)}""",
     "union_by_name": "SELECT * FROM pstd UNION ALL BY NAME SELECT * FROM classified",
     "zone_classify": "SELECT seq, prediction, cluster_risiko FROM scored",
     "fixed_band_classify": f"""SELECT seq, val, {_band('val')} AS cluster_risiko,

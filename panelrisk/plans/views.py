@@ -14,9 +14,11 @@ twin in ``oracle.py`` with the same semantics.
 * dictionary: panel name -> covariate name for the nations of three
   regions.  Nations outside it keep their panel name, miss both covariates
   and get imputed medians (the original's dictionary gap).
-* uploads: for the nations of two regions, one row per (supplier nation,
-  return flag, line status) of the target year: R -> Rate, A -> Number,
-  else Other; value = price of the group's first line item / 100.
+* uploads: one row per line item.  Suppliers of two regions report under their
+  nation's name, the others under their region's, which the panel does not
+  know: those nations stay to be filled from history.  Return flag R -> Rate, A ->
+  Number, else Other; value = extended price / 100.  ``seq`` is the row's place
+  when the rows stand in order of order key, line number and all that is reported.
 
 Values are exact aggregates (sums of integral values, max, first-by-order)
 so that the DuckDB twin reproduces them to the last bit.
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..operators import ranks
 
 # Parameters of the test views (not reference values).
 RATE = "Rate"
@@ -36,9 +39,8 @@ TARGET_YEAR = 2001
 MEASURE_PATTERN = "urgent|HIGH"
 DICTIONARY_REGIONS = ["AFRICA", "AMERICA", "ASIA"]
 VAL_DIVISOR = 500.0
-UPLOAD_REGIONS = ["ASIA", "MIDDLE EAST"]  # entities of the others stay to be filled from history
+UPLOAD_REGIONS = ["ASIA", "MIDDLE EAST"]  # whose suppliers report by nation, the others by region
 UPLOAD_DIVISOR = 100.0
-UPLOAD_LINES = 8  # more than the lines of an order
 WATCH = ["Nation 1", "Nation_3", "Nation 12", "Nation_24", "Nation 4", "Indonesia"]
 # Fixed-threshold grouping used where a deterministic, SQL-checkable
 # cluster id is needed in place of a fitted model's.
@@ -101,23 +103,20 @@ def cov_density(spark: SparkSession, d: str) -> DataFrame:
 
 
 def uploads(spark: SparkSession, d: str) -> DataFrame:
-    l = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                           "l_extendedprice", "l_returnflag")
+    l = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag")
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    r = table(spark, d, "region").filter(F.col("r_name").isin(UPLOAD_REGIONS))
+    r = table(spark, d, "region").select("r_regionkey", "r_name")
     n = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    n = n.join(r, n.n_regionkey == r.r_regionkey, "left_semi")
-    # one row for each order line: the first where the tables hold several
-    first = F.min(F.struct("l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag"))
-    g = (l.groupBy("l_orderkey", "l_linenumber").agg(first.alias("f"))
-          .select("l_orderkey", "l_linenumber", "f.l_suppkey", F.col("f.l_extendedprice").alias("v"), "f.l_returnflag")
-          .join(s, F.col("l_suppkey") == s.s_suppkey).join(n, F.col("s_nationkey") == n.n_nationkey))
-    return g.select(
-        (F.col("l_orderkey").cast("bigint") * UPLOAD_LINES + F.col("l_linenumber")).alias(K.SEQ),
-        F.col("n_name").alias(K.LOCATION),
+    name = F.when(F.col("r_name").isin(UPLOAD_REGIONS), F.col("n_name")).otherwise(F.col("r_name"))
+    n = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", name.alias(K.LOCATION))
+    g = (l.join(s, l.l_suppkey == s.s_suppkey, "left").join(F.broadcast(n), F.col("s_nationkey") == n.n_nationkey, "left"))
+    g = g.select(
+        "l_orderkey", "l_linenumber", K.LOCATION,
         F.when(F.col("l_returnflag") == "R", RATE)
          .when(F.col("l_returnflag") == "A", COUNT).otherwise("Other").alias(K.METRIC),
-        (F.col("v") / UPLOAD_DIVISOR).alias(K.VAL))
+        (F.col("l_extendedprice") / UPLOAD_DIVISOR).alias(K.VAL))
+    placed = ranks.numbered(g, ["l_orderkey", "l_linenumber", K.LOCATION, K.METRIC, K.VAL], K.SEQ)
+    return placed.select(K.SEQ, K.LOCATION, K.METRIC, K.VAL)
 
 
 def supplied_cluster(val_col: str = K.VAL) -> F.Column:

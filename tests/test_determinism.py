@@ -1,5 +1,6 @@
 """Fitted models give identical output from any input partitioning
-(SURVEY 7.4), thanks to ``features.stable_layout``."""
+(SURVEY 7.4): k-means thanks to ``features.stable_layout``, the forest and the
+quantiles because they do not look at the layout."""
 
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ def test_forest_repeatable(spark):
 
 def test_fits_do_not_hang_on_the_layout(spark):
     """Cluster labels are equal whatever number of partitions a fit is laid out
-    in; the forest's metrics, whose bootstrap is drawn by partition, stay within
-    a tenth of the labels' deviation."""
+    in; the forest's metrics stay within a tenth of the labels' deviation
+    (they are equal: see ``test_forecast_is_the_same_in_any_layout``)."""
     from panelrisk.plans import jobs
     m = C.master(spark, SF)
     sd = m.agg(F.stddev(K.VAL)).first()[0]
@@ -77,3 +78,14 @@ def test_single_layout_matches_separate_fits(spark):
     a = sorted((r[0], round(r[1], 9), r[2], r[3]) for r in zoned.select(*cols).collect())
     b = sorted((r[0], round(r[1], 9), r[2], r[3]) for r in zoned2.select(*cols).collect())
     assert a == b and len(a) > 0
+
+
+def test_forecast_is_the_same_in_any_layout(spark):
+    """Split, predictions and zones, with the sketches at their default error, at 1, 8 and 32 partitions."""
+    from panelrisk.plans import jobs
+    m = C.master(spark, "/root/testdata/sf0.01")
+    outs = []
+    for n in (1, 8, 32):
+        *_, split, _, zoned, _ = jobs.profile_and_forecast(m.repartition(n), partitions=n, with_silhouette=False, trees=20)
+        outs.append((str(split), sorted((r.seq, r.prediction, r.cluster_risiko) for r in zoned.collect())))
+    assert len(outs[0][1]) > 100 and outs[0] == outs[1] == outs[2]

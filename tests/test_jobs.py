@@ -123,3 +123,39 @@ def test_final_entity_table_c7(pred, master, upload):
     cov = {r.name: r.status for r in jobs.watchlist(final).collect()}
     assert cov["Peru"] == "mapped" and cov["Finland"] == "mapped" and cov["Bolivia"] == "failed"
     assert jobs.map_ready(final).count() == final.count()
+
+
+def test_medians_are_those_of_the_joined_rows(spark, df):
+    """Weights of the counted keys against the joined rows, with covariate rows that repeat and fan out."""
+    from panelrisk.operators import features
+    rows = [(i, f"E{i * i % 7}", "m", "Laju", 2000 + i % 3, float(i)) for i in range(200)]
+    panel = df(rows, "seq long, location_name string, measure_name string, metric_name string, year int, val double")
+    gdp = df([(f"E{k % 5}", 2000 + k % 3, float(k * 37 % 101)) for k in range(20)], "Entity string, Year int, gdp double")
+    pop = df([(f"E{k % 6}", 2000 + k % 4, float(k * 53 % 97)) for k in range(30)], "Entity string, Year int, density double")
+    kw = {"dictionary": {}, "impute_relative_error": 0.0}
+    joined = jobs.integrate_panel(panel, gdp, pop, impute=False, **kw)
+    assert joined.count() > 200
+    want = features.median_impute(joined, [K.GDP, K.POP], 0.0)
+    got = jobs.integrate_panel(panel, gdp, pop, **kw)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and got.count() == joined.count()
+
+
+def test_every_line_item_is_an_upload_row(spark):
+    from panelrisk.plans import views
+    sf = "/root/testdata/sf0.001"
+    up = views.uploads(spark, sf)
+    n = views.table(spark, sf, "lineitem").count()
+    assert up.count() == n and sorted(r.seq for r in up.select("seq").collect()) == list(range(n))
+
+
+def test_final_table_writes_the_panel_twice(spark):
+    """The rate master and the predictions; nothing else of the panel's size but the upload itself."""
+    import os
+
+    from panelrisk.plans import catalog
+    from panelrisk.session import owned_work
+    with owned_work(spark) as folders:
+        assert catalog.q_final_entity_table(spark, "/root/testdata/sf0.001").count() > 0
+        kinds = sorted(f.split("/")[-2] for f in folders)
+        assert all(os.path.exists(f.removeprefix("file://")) for f in folders)
+    assert kinds == ["covariate"] * 4 + ["curated_master", "numbered", "predictions"]
