@@ -5,7 +5,9 @@ header lines: version 1 has five, version 2 ten.  Each record is a header line
 and a payload of the declared length.  The converter parses these and
 synthesises what WARC wants besides: record ids, W3C timestamps, record types
 (a payload seen before becomes a revisit that refers to the first), and block
-and payload digests.  Archives are written to shared storage and read back.
+and payload digests.  A header line's IP address becomes ``WARC-IP-Address``; every archive
+opens with a ``warcinfo`` record made from the version block of its first segment.
+Archives are written to shared storage and read back, each by a task of its own.
 """
 
 from __future__ import annotations
@@ -38,6 +40,12 @@ IDS = uuid.uuid5(uuid.NAMESPACE_URL, "urn:panelrisk:arc")
 #: An archive file is closed once it has this many bytes.
 ARCHIVE_BYTES = 32 << 20
 
+#: Most partitions that archives are dealt into for reading.
+READERS = 20_000
+
+#: Address fields that name no address.
+NO_ADDRESS = ("", "-", "0.0.0.0")
+
 
 @dataclass(frozen=True)
 class ArcRecord:
@@ -94,6 +102,17 @@ def parse_arc(content: bytes) -> Iterator[ArcRecord]:
         yield ArcRecord(row["URL"], row["Archive-date"], row["Content-type"], payload, row)
 
 
+def version_fields(content: bytes) -> dict[str, str]:
+    """What the version block of an ARC file says: its name, date, version and origin."""
+    end = content.find(b"\n")
+    words = content[:end].decode("utf-8", "replace").rstrip("\r").split(" ")
+    if end < 0 or not words[0].startswith("filedesc:") or not words[-1].isdigit():
+        raise ValueError("ARC: no version block")
+    line = content[end + 1:end + 1 + int(words[-1])].decode("utf-8", "replace").split("\n")[0].split(" ")
+    return {"name": words[0].removeprefix("filedesc://"), "date": words[2] if len(words) > 2 else "",
+            "version": line[0], "origin": " ".join(line[2:])}
+
+
 def w3c_date(digits: str) -> str:
     """ARC's 14 digits (or fewer: the rest is lowest) as WARC's timestamp."""
     low = "00000101000000"
@@ -123,6 +142,8 @@ def warc_record(record: ArcRecord, key: int | None, digest: str, refers_to: int
             f"WARC-Date: {w3c_date(record.date)}", f"WARC-Target-URI: {record.url}",
             f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{sha1_base32(block) if revisit else digest}",
             f"X-Page-Id: {'' if key is None else key}", f"X-Payload-Length: {len(record.payload)}"]
+    if (address := record.fields.get("IP-address", "")) not in NO_ADDRESS:
+        head.append(f"WARC-IP-Address: {address}")
     if revisit:
         head += [f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page: {refers_to}",
                  "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
@@ -130,6 +151,18 @@ def warc_record(record: ArcRecord, key: int | None, digest: str, refers_to: int
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def warcinfo_record(version: dict[str, str], filename: str) -> bytes:
+    """The record that opens an archive, from an ARC version block."""
+    block = "".join(f"{k}: {v}\r\n" for k, v in (
+        ("software", "panelrisk"), ("format", "WARC File Format 1.1"), ("description", "converted from ARC"),
+        ("arc-name", version["name"]), ("arc-version", version["version"]), ("arc-origin", version["origin"]))).encode()
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id(filename)}",
+            f"WARC-Date: {w3c_date(version['date'])}", f"WARC-Filename: {filename}",
+            f"WARC-Block-Digest: sha1:{sha1_base32(block)}", "Content-Type: application/warc-fields",
+            f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
 def members(stream, piece: int = 1 << 20) -> Iterator[bytes]:
     """Members of a gzip archive, one at a time."""
     inflate, out, held = zlib.decompressobj(31), [], stream.read(piece)
@@ -144,6 +177,12 @@ def members(stream, piece: int = 1 << 20) -> Iterator[bytes]:
         raise ValueError("WARC: archive ends inside a member")
 
 
+def packed(record: bytes) -> bytes:
+    """A record as a gzip member of its own."""
+    pack = zlib.compressobj(1, zlib.DEFLATED, 31)
+    return pack.compress(record) + pack.flush()
+
+
 def parse_warc(member: bytes) -> tuple[dict[str, str], bytes]:
     """Header fields and block of a record; the declared length must hold."""
     head, _, rest = member.partition(b"\r\n\r\n")
@@ -249,12 +288,11 @@ def convert(arcs: DataFrame, name: str = "warc", least_bytes: int = 0, archive_b
                     if out is None:
                         path = f"{base}/{uuid.uuid4().hex}.warc.gz"
                         out, records, size = store.open_output_stream(path, compression=None), 0, 0
+                        out.write(packed(warcinfo_record(version_fields(a), path.rsplit("/", 1)[1])))
                     digest = sha1_base32(r.payload)
                     of = first_of.get((digest, len(r.payload)), key)
                     revisit = not none and of != key
-                    pack = zlib.compressobj(1, zlib.DEFLATED, 31)
-                    raw = warc_record(r, key, digest, of, revisit)
-                    data = pack.compress(raw) + pack.flush()
+                    data = packed(warc_record(r, key, digest, of, revisit))
                     out.write(data)
                     records += 1
                     size += len(data)
@@ -274,7 +312,10 @@ def convert(arcs: DataFrame, name: str = "warc", least_bytes: int = 0, archive_b
 def read_archives(manifest: DataFrame) -> DataFrame:
     """Records of the listed archives, read member by member: ``page_id,
     payload_bytes, payload_digest, record_type, refers_to``, then ``record_id,
-    date, url``.  Every response's digest is checked against its block."""
+    date, url``.  Every response's digest is checked against its block.
+
+    A manifest is small, so its number of partitions is given: left to the size of its rows,
+    one task would read all archives."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "date", "url"]
         for b in batches:
@@ -285,6 +326,8 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 with store.open_input_stream(path, compression=None) as stream:
                     for member in members(stream):
                         f, block = parse_warc(member)
+                        if f["WARC-Type"] == "warcinfo":
+                            continue
                         digest = f["WARC-Payload-Digest"].removeprefix("sha1:")
                         if f["WARC-Type"] == "response" and sha1_base32(block) != digest:
                             raise ValueError("WARC: payload does not have its digest")
@@ -297,7 +340,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 frame = pd.DataFrame(rows, columns=names, dtype=object)
                 yield frame.assign(**{c: pd.array(frame[c].tolist(), dtype="Int64") for c in ("page_id", "refers_to")})
 
-    files = manifest.repartition(F.col("path"))
+    files = manifest.repartition(max(1, min(manifest.count(), READERS)), F.col("path"))
     return files.mapInPandas(run, "page_id long, payload_bytes long, payload_digest string, record_type string,"
                                   " refers_to long, record_id string, date string, url string")
 

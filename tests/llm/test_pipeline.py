@@ -18,18 +18,69 @@ SF = "/root/testdata/sf0.001"
 
 # -- mixing -----------------------------------------------------------------
 
-@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 5, "b": 3, "c": 2}, {None: 1, "a": 1e-9},
-                                     {str(i): 1 / (i + 1) for i in range(50)}])
-def test_one_period_is_pfair(weights):
-    period = 512
-    parts = mixing.whole_parts(weights, period)
-    assert sum(parts.values()) == period and min(parts.values()) >= 1
-    done = dict.fromkeys(parts, 0)
-    for k, (s, index, slot, release, deadline) in enumerate(mixing.one_period(parts, period)):
-        assert (slot, index) == (k, done[s]) and release <= slot < deadline
-        done[s] += 1
-        assert all(abs(done[x] * period - parts[x] * (slot + 1)) < period for x in parts)
-    assert done == parts
+@pytest.mark.parametrize("weights", [[1], [5, 3, 2], [1000] + [k * k + 300 for k in range(19)],
+                                     [10**6, 4000, 4000, 5000] + [9999 + i for i in range(60)]])
+def test_no_source_is_a_block_off_in_any_of_many_periods(weights):
+    """Weights themselves, not rounded ones, over 1,000 periods (every one of the first, then jumps)."""
+    total, slots = sum(weights), 512
+    numbers = [*range(40), *range(40, 1000, 37), 999, 10**9 + 7]
+    sources = [(w, 10**18, True, True) for w in weights]
+    had = None
+    for j in numbers:
+        begin = mixing.shares(weights, total, j * slots)
+        if had is not None and j < 40:
+            assert begin == had
+        assert sum(begin) == j * slots and all(abs(b * total - w * j * slots) < total for b, w in zip(begin, weights))
+        had = list(begin)
+        seen = 0
+        for i, k, slot, release, due in mixing.one_period(j, slots, total, sources):
+            assert (k, slot) == (had[i], j * slots + seen) and release <= slot < due
+            assert (release, due) == (k * total // weights[i], -(-(k + 1) * total // weights[i]))
+            had[i] += 1
+            seen += 1
+            if slot % 5 == 0:
+                assert all(abs(h * total - w * (slot + 1)) < total for h, w in zip(had, weights))
+        assert seen == slots
+
+
+def test_mix_over_many_periods(spark):
+    """Short periods, sources that run out one after the other: every block once, one for a slot, no
+    source a block off its unrounded share until the first has run out."""
+    sizes = {None: 4000, "b": 900, "c": 2500, "d": 60}
+    docs = spark.createDataFrame([(i, s) for s, n in sizes.items() for i in range(n)], "doc_id long, source string")
+    weights = {None: 40.0, "b": 27.0, "c": 30.0, "d": 3.0}
+    got = mixing.mix(docs, weights, block=2, period=128).collect()
+    assert len(got) == sum(sizes.values()) and sorted(r.position for r in got) == list(range(len(got)))
+    slots = dict.fromkeys((r.slot, r.source, r.block) for r in sorted(got, key=lambda r: r.position))
+    assert len({x[0] for x in slots}) == len(slots) == sum(-(-n // 2) for n in sizes.values())
+    assert Counter(x[1:] for x in slots) == Counter((s, k) for s, n in sizes.items() for k in range(-(-n // 2)))
+    seen, on = Counter(), {r.slot for r in got if r.on_target}
+    for slot, source, k in slots:
+        assert k == seen[source]
+        seen[source] += 1
+        if slot in on:
+            assert all(abs(seen[s] - w / 100 * (slot + 1)) < 1 + 1e-6 for s, w in weights.items())
+    # "d" runs out first: its window after 30 blocks is that of slots 1000 to 1033
+    assert 999 <= max(on) < 1033
+    by_hand, parts = [], {s: int(w / 100.0 * mixing.UNITS) for s, w in weights.items()}
+    total = sum(parts.values())
+    order = sorted(sizes, key=lambda s: (s is not None, s or ""))
+    until = {s: ((-(-n // 2) + 2) * total / parts[s] / 128) // 1 + 1 for s, n in sizes.items()}
+    for j in range(2000):
+        rows = [(parts[s], -(-sizes[s] // 2), j <= until[s] + 1, j <= until[s]) for s in order]
+        by_hand += [(slot, order[i], k) for i, k, slot, _, _ in mixing.one_period(j, 128, total, rows) if k < rows[i][1]]
+    assert by_hand == list(slots)
+
+
+def test_many_sources_are_a_table(spark):
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('s', id % 12000) AS source")
+    got = mixing.mix(docs, block=1)
+    assert got.count() == 30_000 and got.select("slot").distinct().count() == 30_000
+    table_ = spark.createDataFrame([("s0", 1.0), ("s1", 3.0)], "source string, weight double")
+    two = mixing.mix(docs.where("source IN ('s0', 's1')"), table_, block=1).collect()
+    assert len(two) == 6
+    with pytest.raises(ValueError, match="no positive weight"):
+        mixing.mix(docs, table_)
 
 
 def test_mix_of_documents(spark):
@@ -46,7 +97,7 @@ def test_mix_of_documents(spark):
     for k, (slot, source) in enumerate(slots):
         assert slot == k  # no slot is empty while all sources last
         seen[source] += 1
-        assert all(abs(seen[s] - share[s] * (k + 1)) < 1.1 for s in share)  # weights are rounded to the period
+        assert all(abs(seen[s] - share[s] * (k + 1)) < 1 + 1e-6 for s in share)
 
 
 def test_mix_of_odd_rows(odd_docs, no_docs):
@@ -55,8 +106,6 @@ def test_mix_of_odd_rows(odd_docs, no_docs):
     assert mixing.mix(no_docs).count() == 0
     with pytest.raises(ValueError, match="no positive weight"):
         mixing.mix(odd_docs, {"s": 1})
-    with pytest.raises(ValueError, match="more than 1 sources"):
-        mixing.mix(odd_docs, max_sources=1)
 
 
 def test_mixed_order_reaches_the_files(spark, tmp_path):
@@ -156,6 +205,33 @@ def test_archives_that_were_cut_are_refused():
         arc_convert.parse_warc(raw[:-5])
 
 
+def test_many_archives_are_read_by_many_tasks(spark):
+    pages = spark.range(600).selectExpr("id AS page_id", "'http://a/' || id AS url", "repeat(sha2(string(id), 512), 40) AS html")
+    arcs = arc_convert.as_arc(pages).repartition(8)
+    manifest = arc_convert.convert(arcs, archive_bytes=4_000)
+    n = manifest.count()
+    assert n > 20
+    found = arc_convert.read_archives(manifest)
+    by_task = [r.n for r in found.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(by_task) == 600 and len(by_task) > n / 2 and max(by_task) < 200, by_task
+
+
+def test_archives_open_with_warcinfo_and_keep_addresses(spark):
+    import pyarrow.fs as pafs
+    one = arc_convert.version_block(1, "old.arc", "19990102030405") + b"http://a 10.2.3.4 20200102030405 text/html 1\nx\n"
+    two = arc_convert.version_block(2) + b"http://b 0.0.0.0 2020 text/html 200 - - 0 f.arc 1\ny\n"
+    arcs = spark.createDataFrame([(1, bytearray(one)), (2, bytearray(two))], "page_id long, arc binary").coalesce(1)
+    (row,) = arc_convert.convert(arcs).collect()
+    store, _ = pafs.FileSystem.from_uri(row.folder if ":" in row.folder else f"file://{row.folder}")
+    with store.open_input_stream(row.path, compression=None) as stream:
+        (info, block), (a, _), (b, _) = map(arc_convert.parse_warc, arc_convert.members(stream))
+    assert info["WARC-Type"] == "warcinfo" and info["WARC-Date"] == "1999-01-02T03:04:05Z" and row.records == 2
+    assert b"arc-name: old.arc" in block and b"arc-version: 1" in block and row.path.endswith(info["WARC-Filename"])
+    assert a["WARC-IP-Address"] == "10.2.3.4" and "WARC-IP-Address" not in b
+    with pytest.raises(ValueError, match="no version block"):
+        arc_convert.version_fields(b"http://a 1 2 3 4\n")
+
+
 # -- pipeline ---------------------------------------------------------------
 
 def test_pipeline_stage_by_stage(spark):
