@@ -217,12 +217,12 @@ def united(parts: Sequence[tuple[list[bytes], np.ndarray, np.ndarray]]) -> tuple
 def composed(asked: tuple, known: tuple) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Composition of an acceptor with a transducer: the n-grams of both, with
     the transducer's weights."""
-    words = set(asked[0])
-    words, grams, weights = united([(asked[0], asked[1], np.zeros_like(asked[2])),
-                                    _restricted(known, words)])
-    found = weights > 0
-    grams, weights = grams[:, found], weights[found]
-    return words, grams, weights
+    wanted = (asked[0], asked[1], np.ones_like(asked[2]))
+    own, grams, weights = _restricted(known, set(asked[0]))
+    # a known weight is doubled, so that an odd sum shows an n-gram that is asked for
+    words, grams, sums = united([wanted, (own, grams, 2 * weights)])
+    found = (sums & 1 == 1) & (sums > 1)
+    return words, grams[:, found], sums[found] >> 1
 
 
 def _restricted(known: tuple, words: set[bytes]) -> tuple:
@@ -349,8 +349,9 @@ def _pieces(ranges: Ranges, level: int, lang: bytes, found: tuple, group: int) -
 def _merged(pieces: DataFrame, ranges: Ranges, fan_out: int) -> DataFrame:
     """Pieces of the last level, after unions at all levels before it.
 
-    At every level the pieces of one range are united ``fan_out`` at a time
-    and cut into the ranges of the next level."""
+    At every level the pieces of one range are united, about ``fan_out`` at a time,
+    and cut into the ranges of the next level: there are ``fan_out`` times fewer groups
+    of pieces and as many times more ranges, so the number of pieces stays in proportion to that of windows."""
     for level in range(2, ranges.levels + 1):
         def deeper(batches: Iterator[pa.RecordBatch], level=level) -> Iterator[pa.RecordBatch]:
             for (lang, _, group), found in _grouped(batches, ("lang", "shard", "groups")):
@@ -379,14 +380,15 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: Sequence[str], at_once: in
         yield now, united(held)
 
 
-def count_transducers(docs: DataFrame, ranges: Ranges, fan_out: int = FAN_OUT, window: int = WINDOW) -> DataFrame:
+def count_transducers(docs: DataFrame, ranges: Ranges, fan_out: int = FAN_OUT, window: int = WINDOW,
+                      groups: int = 1) -> DataFrame:
     """Count transducers of all texts, cut into the ranges of the last level
-    (several pieces for each range)."""
+    (several pieces for each range).  ``groups``: about the number of windows, by
+    which they are dealt into unions; it decides the size of unions only."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, (lang, raw) in enumerate(_joined(batches, window)):
-            for found in counted(raw, window):
-                # groups are only dealt into unions: any number that spreads does
-                yield from _pieces(ranges, 1, lang, found, zlib.crc32(raw[:4096]) % (1 << 20) * 64 + group % 64)
+        for lang, raw in _joined(batches, window):
+            for k, found in enumerate(counted(raw, window)):
+                yield from _pieces(ranges, 1, lang, found, (zlib.crc32(raw[:4096]) + k) % groups)
 
     return _merged(docs.mapInArrow(build, _PIECE), ranges, fan_out)
 
@@ -429,7 +431,7 @@ def listed(transducers: DataFrame) -> DataFrame:
 
 
 def look_up(parts: DataFrame, counts: DataFrame, ranges: Ranges, fan_out: int = FAN_OUT,
-            at_once: int = 200_000) -> DataFrame:
+            groups: int = 1, at_once: int = 200_000) -> DataFrame:
     """``(lang, part, f)`` for distinct parts ``(lang, part)``: acceptors of the
     parts go to the ranges of ``counts`` and are composed with them there."""
     def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,12 +439,12 @@ def look_up(parts: DataFrame, counts: DataFrame, ranges: Ranges, fan_out: int =
         n = 0
 
         def acceptors():
-            for group, (lang, grams) in enumerate(held.items()):
+            for lang, grams in held.items():
                 words = sorted({w for g in grams for w in g})
                 number = dict(zip(words, count(1)))
                 rows = np.array(sorted([*map(number.__getitem__, g), 0, 0][:3] for g in grams), np.int64).T
                 found = (words, rows, np.ones(len(grams), np.int64))
-                yield from _pieces(ranges, 1, lang.encode(), found, zlib.crc32(words[0] + words[-1]) % (1 << 20))
+                yield from _pieces(ranges, 1, lang.encode(), found, zlib.crc32(words[0] + words[-1]) % groups)
             held.clear()
 
         for batch in batches:
@@ -492,7 +494,8 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, inside: int
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     levels = _levels(total, range_bytes, fan_out)
     ranges = Ranges(_borders(texts, total, fan_out ** min(levels, 2)), levels, fan_out)
-    counts = stage(frequent(count_transducers(texts, ranges, fan_out, window), least), "phrases-counts")
+    groups = max(1, total // window)
+    counts = stage(frequent(count_transducers(texts, ranges, fan_out, window, groups), least), "phrases-counts")
     candidates = stage(listed(counts).where("n > 1"), "phrases-candidates")
 
     words = F.split("phrase", " ")
@@ -502,7 +505,7 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, inside: int
                       for k, side, start, size in ((1, "l", 1, 1), (1, "r", 2, 2), (2, "l", 1, 2), (2, "r", 3, 1))])
     uses = candidates.select("lang", "phrase", "a", F.explode(F.when(F.col("n") == 2, two).otherwise(three)).alias("u"))
     uses = uses.select("lang", "phrase", "a", "u.k", "u.side", "u.part")
-    answers = stage(look_up(uses.select("lang", "part").distinct(), counts, ranges, fan_out), "phrases-parts")
+    answers = stage(look_up(uses.select("lang", "part").distinct(), counts, ranges, fan_out, groups), "phrases-parts")
     answers = answers.select(F.col("lang").alias("part_lang"), F.col("part").alias("asked"), "f")
     met = salted_left_join(uses, answers, ["lang", "part"], ["part_lang", "asked"], ["phrase"])
     f = {f"{s}{k}": F.max(F.when((F.col("k") == k) & (F.col("side") == s), F.col("f"))).alias(f"{s}{k}")

@@ -85,6 +85,19 @@ def test_collocations_of_documents(spark, sizes):
     assert got == by_hand([(r.lang, r.text) for r in docs.collect()]) and len(got) > 100
 
 
+def test_pieces_do_not_grow_with_ranges_times_windows(spark):
+    """Two levels: after the unions there are about as many pieces for a window as after one level."""
+    docs = table(spark, SF, "documents").selectExpr("'xx' AS lang", "text").repartition(4)
+    total = docs.selectExpr("sum(octet_length(text))").first()[0]
+    borders = phrases._borders(docs, total, 64)
+    window, groups = 10_000, total // 10_000
+    two = phrases.count_transducers(docs, phrases.Ranges(borders, 2, 8), 8, window, groups)
+    one = phrases.count_transducers(docs, phrases.Ranges(borders[7::8], 1, 8), 8, window, groups)
+    assert groups > 30 and two.count() < 2 * one.count()
+    a, b = (phrases.listed(phrases.frequent(x, 1).select("lang", "blob")) for x in (one, two))
+    assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0 and a.count() > 1000
+
+
 def test_collocations_of_odd_rows(spark, odd_docs, no_docs):
     assert phrases.collocations(no_docs).count() == 0
     rows = [(r.lang, r.text) for r in odd_docs.collect()]
