@@ -35,10 +35,10 @@ from panelrisk.operators.joins import salted_left_join
 
 #: Bytes of text that one transducer is built from.  A window holds fewer
 #: than 2**21 different words, so that three of them fit into 64 bits.
-WINDOW = 6 << 20
+WINDOW = 4 << 20
 
 #: Ranges that a transducer is cut into at one level.
-FAN_OUT = 64
+FAN_OUT = 128
 
 #: Bytes of text that one last range stands for on average, at most.
 RANGE_BYTES = 32 << 20
@@ -186,8 +186,8 @@ def entries(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     step = np.arange(int(arcs.sum())) - np.repeat(np.cumsum(arcs) - arcs, arcs)
     place = np.repeat(start[np.maximum(leads - 1, 0)], arcs) + step
     none = np.zeros_like
-    grams = np.stack([np.concatenate([a1, a2, a3]), np.concatenate([none(a1), b2, b3]),
-                      np.concatenate([none(a1), none(a2), c3[place]])])
+    grams = np.stack([np.concatenate(x).astype(np.int32) for x in (
+        (a1, a2, a3), (none(a1), b2, b3), (none(a1), none(a2), c3[place]))])
     weights = np.concatenate([w1, w2, w3[place]])
     order = np.lexsort(grams[::-1])
     order = order[weights[order] > 0]
@@ -202,11 +202,14 @@ def united(parts: Sequence[tuple[list[bytes], np.ndarray, np.ndarray]]) -> tuple
     number = dict(zip(words, count(1)))
     renamed = []
     for own, grams, _ in parts:
-        ids = np.array([0, *map(number.__getitem__, own)], np.int64)
+        ids = np.array([0, *map(number.__getitem__, own)], np.int32)
         renamed.append(ids[grams])
     grams, weights = np.concatenate(renamed, axis=1), np.concatenate([p[2] for p in parts])
+    del renamed
     if len(words) < 1 << _BITS:
-        order = np.argsort(grams[0] << 2 * _BITS | grams[1] << _BITS | grams[2], kind="stable")
+        a, b, c = (g.astype(np.int64) for g in grams)
+        order = np.argsort(a << 2 * _BITS | b << _BITS | c, kind="stable")
+        del a, b, c
     else:
         order = np.lexsort(grams[::-1])
     grams = grams[:, order]
