@@ -16,12 +16,16 @@ from ._util import as_col
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 # Private-use marker that tags the spaces inserted for ``initcap``.
 _MARK = "\ue000"
+# All characters of the Unicode property White_Space.
+_BLANKS = ("\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+           + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def py_strip(c) -> Column:
     """Strip leading/trailing whitespace of any kind (like ``str.strip``;
-    Spark's ``trim`` removes spaces only).  Null stays null."""
-    return F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", "")
+    Spark's ``trim`` removes spaces only).  Null stays null.  A trim of named
+    characters looks at the two ends; a pattern would be tried at every character."""
+    return F.btrim(as_col(c), F.lit(_BLANKS))
 
 
 def py_title(c) -> Column:

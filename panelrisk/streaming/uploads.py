@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -58,6 +58,12 @@ def start_upload_stream(spark: SparkSession, source_dir: str, sink_dir: str,
 ANNOUNCED, FILES = "announced", "files"
 
 
+def upload_of(file: str) -> Column:
+    """Name of the upload (the folder) that a file path belongs to.  The path is cut at its last
+    slashes: this runs on every row."""
+    return F.substring_index(F.substring_index(file, "/", -2), "/", 1)
+
+
 def announce_upload(df: DataFrame, inbox: str, name: str) -> str:
     """Land ``df`` as the upload ``name`` (CSV files in the order of its partitions, written by the
     executors), then announce it.  The announcement appears in one step, by a rename."""
@@ -95,7 +101,7 @@ def start_announced_stream(spark: SparkSession, inbox: str, sink_dir: str, check
         session = batch.sparkSession
         rows = (session.read.schema(schema).option("header", "true").csv([f"{root}/{FILES}/{n}" for n in names])
                 .withColumn("source_file", F.col("_metadata.file_path")).withColumn(K.SEQ, row_in_block()))
-        rows = rows.withColumn("upload", F.regexp_extract("source_file", "([^/]+)/[^/]+$", 1))
+        rows = rows.withColumn("upload", upload_of("source_file"))
         out = jobs.classify_upload(rows, dictionary=dictionary, upload_column="upload",
                                    order=["source_file", K.SEQ], **classify_kw)
         out.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")

@@ -45,6 +45,16 @@ def test_strip_matches_python(df):
     assert col(d, py_strip("s")) == [w.strip() for w in words]
 
 
+def test_strip_takes_all_white_space_without_a_pattern(df):
+    """The same characters as the pattern took that was tried at every character of every row."""
+    words = [f"{chr(c)}a{chr(c)} b{chr(c)}\n" for c in range(1, 0x3100)] + ["", " \u3000\t", None]
+    d = df([(w,) for w in words], "s string")
+    old = F.regexp_replace("s", r"(?U)^\s+|\s+$", "")
+    got = d.select(py_strip("s").alias("a"), old.alias("b"))
+    assert got.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+    assert "regexp" not in d.select(py_strip("s"))._jdf.queryExecution().toString()
+
+
 def test_dictionary_single_pass_then_trim_e8(df):
     d = df([("a",), ("b",), (" a ",), (None,)], "s string")
     out = conform.standardise_names(d, "s", {"a": "b", "b": "a"})

@@ -7,6 +7,7 @@ import pytest
 from panelrisk.session import shared_path
 from panelrisk.sources import lake
 from panelrisk.streaming import announce_upload, read_classified, start_announced_stream, start_upload_stream
+from panelrisk.streaming.uploads import upload_of
 
 
 def test_upload_stream_per_file(spark, df):
@@ -70,3 +71,10 @@ def test_files_that_are_not_announced_are_left(spark, df):
     announce_upload(df([("Peru", "Rate", 2.0)], cols), inbox, "done")
     start_announced_stream(spark, inbox, sink).awaitTermination()
     assert [(r.upload, r.val) for r in read_classified(spark, sink).collect()] == [("done", 2.0)]
+
+
+def test_the_upload_of_a_file_is_cut_from_its_path(df):
+    paths = ["file:/a/b/files/view/part-0.csv", "hdfs://h:1/files/x%20y/part-1.csv", "s3a://bucket/files/a.b/p"]
+    got = df([(p,) for p in paths], "source_file string").select(upload_of("source_file").alias("u"))
+    assert [r.u for r in got.collect()] == ["view", "x%20y", "a.b"]
+    assert "regexp" not in got._jdf.queryExecution().toString()
