@@ -5,6 +5,10 @@ and the seed; sums are taken over whole numbers; quantiles come from
 ``sketch``.  So the same rows give the same forest in any number of
 partitions, in any order, and after a lost executor.
 
+Rows that agree in all bins walk alike.  Where most do (a panel: the covariates hang on
+entity and year), each tree's draws are summed by bins in one pass over the rows, and the levels read
+those sums; the sums, and so the trees, are the same either way.
+
 All trees grow level by level.  A level is one job: the rows, with the node each has
 reached in each tree, add to counts by (tree, node, candidate feature, bin), which are
 summed partially in every task: at most ``trees x 2**level x candidates x
@@ -34,6 +38,9 @@ MAX_DEPTH = 5
 LABEL_BITS = 40
 _LOW = 20
 
+#: Rows to a combination of bins, at least, for draws to be summed by combination first.
+ROWS_OF_A_COMBINATION = 8
+
 
 def poisson_limits() -> list[int]:
     """Hash values (signed 64 bits) below which a row is drawn 0, 1, 2, ... times: the
@@ -197,7 +204,7 @@ def fit_forest(train: DataFrame, key: Sequence[str] = (K.SEQ,), categorical: Seq
     unit = 2.0 ** (math.frexp(top)[1] - LABEL_BITS) if top else 1.0
     binned = rows.select(F.xxhash64(*[F.col(c) for c in key]).alias("key"),
                          F.round(y / unit).cast("long").alias("y"), encoder.bins().alias("bins"))
-    binned = staged(binned, "lake", "forest_rows")
+    drawn_rows = _drawn(staged(binned, "lake", "forest_rows"), trees, seed)
 
     n_features = len(categorical) + len(numeric)
     m = max(1, math.ceil(n_features / 3))
@@ -207,13 +214,29 @@ def fit_forest(train: DataFrame, key: Sequence[str] = (K.SEQ,), categorical: Seq
     forest.mean = [0.0] * (trees * forest.size)
     live = {(t, 1) for t in range(trees)}
     for level in range(max_depth):
-        live = _grow(forest, binned, level, live, m, n_features, len(categorical), seed, unit)
+        live = _grow(forest, drawn_rows, level, live, m, n_features, len(categorical), seed, unit)
         if not live:
             break
     return forest
 
 
-def _grow(forest: Forest, binned: DataFrame, level: int, live: set[tuple[int, int]], m: int, n_features: int,
+def _drawn(binned: DataFrame, trees: int, seed: int) -> DataFrame:
+    """``(tree, bins, n, high, low)``: how often a tree draws a row, and its label as many times, in two
+    whole numbers.  One row for each tree and combination of bins where these
+    are few against the rows (counted first), else one for each tree and row that it draws."""
+    low = (1 << _LOW) - 1
+    rows = binned.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    rows = rows.withColumn("n", draws(F.col("key"), F.col("tree"), seed)).where("n > 0").select(
+        "tree", "bins", "n", (F.col("n") * F.shiftright("y", _LOW)).alias("high"),
+        (F.col("n") * F.col("y").bitwiseAND(F.lit(low))).alias("low"))
+    size = binned.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("bins").alias("combinations")).first()
+    if size["combinations"] * ROWS_OF_A_COMBINATION > size["rows"]:
+        return rows
+    sums = rows.groupBy("tree", "bins").agg(*[F.sum(c).alias(c) for c in ("n", "high", "low")])
+    return staged(sums, "lake", "forest_draws")
+
+
+def _grow(forest: Forest, drawn_rows: DataFrame, level: int, live: set[tuple[int, int]], m: int, n_features: int,
           n_categorical: int, seed: int, unit: float) -> set[tuple[int, int]]:
     """Split the ``live`` nodes of a level; the nodes below that are to be looked at next."""
     asked = [-1] * (forest.trees * forest.size * m)
@@ -221,19 +244,16 @@ def _grow(forest: Forest, binned: DataFrame, level: int, live: set[tuple[int, in
         drawn = sorted(random.Random(f"{seed}/{t}/{node}").sample(range(n_features), m))
         at = (t * forest.size + node) * m
         asked[at:at + m] = drawn
-    rows = binned.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))))
-    rows = rows.withColumn("w", draws(F.col("key"), F.col("tree"), seed)).where("w > 0").withColumn("n0", F.lit(1))
+    rows = drawn_rows.withColumn("n0", F.lit(1))
     for k in range(level):
         rows = rows.withColumn(f"n{k + 1}", forest.below(F.col("tree"), F.col(f"n{k}"), F.col("bins")))
     at = (F.col("tree") * forest.size + F.col(f"n{level}")) * m
     features = _literal(asked, "int")
-    cells = (rows.select("tree", F.col(f"n{level}").alias("node"), "w", "y", "bins",
+    cells = (rows.select("tree", F.col(f"n{level}").alias("node"), "n", "high", "low", "bins",
                          F.explode(F.array(*[F.get(features, at + j) for j in range(m)])).alias("f")).where("f >= 0"))
-    low = (1 << _LOW) - 1
     # two sums of whole numbers each, so that no order of adding matters and none overflows
     sums = cells.groupBy("tree", "node", "f", F.get("bins", F.col("f")).alias("bin")).agg(
-        F.sum("w").alias("n"), F.sum(F.col("w") * F.shiftright("y", _LOW)).alias("high"),
-        F.sum(F.col("w") * F.col("y").bitwiseAND(F.lit(low))).alias("low"))
+        *[F.sum(c).alias(c) for c in ("n", "high", "low")])
     total = (F.col("high").cast("decimal(38,0)") * (1 << _LOW) + F.col("low").cast("decimal(38,0)")).cast("double")
     bins = sums.select("tree", "node", "f", "bin", "n", total.alias("s"))
     order = F.when(F.col("f") < n_categorical, F.col("s") / F.col("n")).otherwise(F.lit(0.0))
