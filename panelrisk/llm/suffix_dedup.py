@@ -36,6 +36,9 @@ FRAGMENT_SHARD = 16 << 20
 #: memory each); a shard with more is cut by further bits of the anchors.
 SORTED_AT_ONCE = 3 << 19
 
+#: Fragments whose anchors are taken in one go (at about 2 kB of memory each).
+HASHED_AT_ONCE = 1 << 12
+
 
 # -- anchors ----------------------------------------------------------------
 
@@ -72,6 +75,12 @@ def window_anchors(text: np.ndarray, length: int = LENGTH, gram: int = GRAM) ->
     return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
 
 
+def first_anchors(fragments: list[bytes], length: int = LENGTH) -> np.ndarray:
+    """The anchor of the first window of each fragment (of ``length`` bytes at least)."""
+    heads = np.frombuffer(b"".join([f[:length] for f in fragments]), np.uint8)
+    return window_anchors(heads, length)[::length]
+
+
 def runs(values: np.ndarray) -> np.ndarray:
     """Start of every run of equal values, and the end of the last."""
     if not len(values):
@@ -93,7 +102,7 @@ def suffix_types(s: np.ndarray) -> np.ndarray:
     is_s[:-1] = s[:-1] < s[1:]
     # within a run of equal symbols the type is that of the run's last
     last = np.flatnonzero(differs)
-    return is_s[last[np.searchsorted(last, np.arange(n))]] if n else is_s
+    return np.repeat(is_s[last], np.diff(last, prepend=-1))
 
 
 def _induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
@@ -164,7 +173,9 @@ def _names(s: np.ndarray, lms: np.ndarray, order: np.ndarray) -> tuple[np.ndarra
     n, m = len(s), len(lms)
     ends = np.append(lms[1:], n - 1)  # a substring ends with the next LMS symbol
     size = ends - lms + 1
-    place = np.searchsorted(lms, order)
+    number = np.empty(n, np.int64)
+    number[lms] = np.arange(m)
+    place = number[order]
     a, b = place[:-1], place[1:]
     equal = size[a] == size[b]
     # the last one runs into the end mark: no other is equal to it
@@ -201,6 +212,8 @@ def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
     kinds = int(s.max()) + 1
     if kinds > max(1024, n // 64):
         return _by_doubling(s, depth)
+    if kinds <= 1 << 16:
+        s = s.astype(np.uint16)  # numpy sorts these by radix
     is_s = suffix_types(s)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     counts = np.bincount(s, minlength=kinds)
@@ -221,13 +234,15 @@ def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
 def _by_doubling(s: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` symbols."""
     n, rank, reach = len(s), s.astype(np.int64), 1
-    _, rank = np.unique(rank, return_inverse=True)
+    if rank.max() >= n:
+        _, rank = np.unique(rank, return_inverse=True)
     while True:
         nxt = np.zeros(n, np.int64)
         if reach < n:
             nxt[:-reach] = rank[reach:] + 1
-        order = np.argsort(rank * np.int64(n + 1) + nxt, kind="stable")
-        key = rank[order] * np.int64(n + 1) + nxt[order]
+        key = rank * np.int64(n + 1) + nxt
+        order = np.argsort(key)
+        key = key[order]
         new = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
         rank = np.empty(n, np.int64)
         rank[order] = new
@@ -426,9 +441,11 @@ def _portions(fragments: list[bytes], length: int) -> Iterator[list[bytes]]:
         yield fragments
         return
     dealt: list[list[bytes]] = [[] for _ in range(parts)]
-    for f in fragments:
-        anchor = int(window_anchors(np.frombuffer(f[:length], np.uint8), length)[0])
-        dealt[(anchor >> 36) % parts].append(f)
+    for i in range(0, len(fragments), HASHED_AT_ONCE):
+        some = fragments[i:i + HASHED_AT_ONCE]
+        part = (first_anchors(some, length) >> np.uint64(36)) % np.uint64(parts)
+        for f, k in zip(some, part.tolist(), strict=True):
+            dealt[k].append(f)
     yield from dealt
 
 
@@ -448,9 +465,12 @@ def _first_docs(fragments: list[bytes], owners: dict, length: int) -> Iterator[t
     low = np.minimum.reduceat(least[of[sa]], edge)
     by_place = np.zeros(len(text), np.int64)
     by_place[sa] = np.repeat(low, np.diff(np.append(edge, len(sa))))
-    for f, a, n in zip(fragments, starts.tolist(), sizes.tolist(), strict=True):
-        mine = by_place[a:a + n - length + 1]
-        yield f, mine, int(mine.min()), int(mine.max())
+    ends = starts + sizes - length + 1
+    edges = np.column_stack((starts, ends)).ravel()
+    lows, highs = (extreme.reduceat(by_place, edges)[::2] for extreme in (np.minimum, np.maximum))
+    for f, a, b, low, high in zip(fragments, starts.tolist(), ends.tolist(), lows.tolist(), highs.tolist(),
+                                  strict=True):
+        yield f, by_place[a:b], low, high
 
 
 def _cut_rows(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:

@@ -186,6 +186,30 @@ def test_suffix_arrays_by_induction():
         assert starts == sorted(starts)
 
 
+def test_suffix_arrays_of_large_numbers():
+    draw = np.random.default_rng(2)
+    for top in (3000, 70000, 1 << 50):
+        s = draw.integers(0, top, 1500)
+        s[700:900] = s[100:300]
+        order = suffix_dedup.suffix_array(s, 50).tolist()
+        starts = [s[i:i + 50].tolist() for i in order]
+        assert sorted(order) == list(range(len(s))) and starts == sorted(starts)
+
+
+def test_anchors_of_fragments_are_hashed_together(monkeypatch):
+    """op10: dealing a shard's fragments into portions hashed each fragment by itself."""
+    draw = np.random.default_rng(3)
+    texts = [bytes(draw.integers(97, 101, n, dtype=np.uint8)) for n in draw.integers(50, 90, 500)]
+    anchors = [int(suffix_dedup.window_anchors(np.frombuffer(t[:50], np.uint8))[0]) for t in texts]
+    calls, hashed = [], suffix_dedup.window_anchors
+    monkeypatch.setattr(suffix_dedup, "window_anchors", lambda *a: calls.append(1) or hashed(*a))
+    monkeypatch.setattr(suffix_dedup, "SORTED_AT_ONCE", 8000)
+    parts = -(-sum(map(len, texts)) // 8000)
+    dealt = list(suffix_dedup._portions(texts, 50))
+    assert dealt == [[t for t, a in zip(texts, anchors, strict=True) if (a >> 36) % parts == k] for k in range(parts)]
+    assert len(calls) <= 2
+
+
 def test_toxicity_on_held_out_documents(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels)
