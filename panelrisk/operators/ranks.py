@@ -14,17 +14,21 @@ from ..session import staged
 ROW_BITS = 33
 
 
-def numbered(df: DataFrame, order_by: Sequence[str | Column], out: str, first: int = 0) -> DataFrame:
+def numbered(df: DataFrame, order_by: Sequence[str | Column], out: str, first: int = 0,
+             keep: Sequence[str] | None = None) -> DataFrame:
     """Rows with their place (``first``, ``first + 1``, ...) in the order of ``order_by``.
 
     The frame is range-partitioned, sorted and landed, each row keeping its
     place in its partition; the partitions' row counts, one small number
     for each, give the places where they begin.  A key that ties is one
     range, so ``order_by`` should tell rows apart; rows that tie on all of it
-    get places in any order, fixed once landed."""
+    get places in any order, fixed once landed.  ``keep``: the columns that are
+    landed, where the order's own are not wanted any more."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     at = "__at"
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
+    if keep is not None:
+        placed = placed.select(*keep, at)
     placed = staged(placed, "lake", "numbered")
     part = F.shiftright(at, ROW_BITS)
     sizes = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
